@@ -91,5 +91,6 @@ ten AS (
 # F3 long form
 SQL_TEN_LONG = SQL_TEN_MIN + """,
 ten_long AS (
-  UNPIVOT INCLUDE NULLS ten ON """ + ", ".join(TAGS) + """ INTO NAME tag VALUE value)
+  SELECT ts, pos, tag, value
+  FROM ten UNPIVOT INCLUDE NULLS (value FOR tag IN (""" + ", ".join(TAGS) + """)))
 """
