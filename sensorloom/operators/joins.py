@@ -90,7 +90,7 @@ def validity_intervals(ref: DataFrame, ref_ts: str, keys: Sequence[str] = ()) ->
     The ordering window runs on the reference side only (one row per event
     such as a relining campaign), partitioned by ``keys`` when given.
     """
-    w = Window.partitionBy(*keys).orderBy(ref_ts) if keys else Window.orderBy(ref_ts)
+    w = Window.partitionBy(*keys).orderBy("valid_from") if keys else Window.orderBy("valid_from")
     d = ref.select(*keys, F.col(ref_ts).alias("valid_from")).dropDuplicates([*keys, "valid_from"])
     return d.withColumn("valid_to", F.lead("valid_from").over(w))
 
@@ -121,7 +121,7 @@ def asof_backward(probe: DataFrame, ref: DataFrame, probe_ts: str, ref_ts: str,
     cond = [pr["_bucket"] == iv["_bucket"]] + [pr[k] == iv[k] for k in keys]
     cond += [pr[probe_ts] >= iv["valid_from"],
              iv["valid_to"].isNull() | (pr[probe_ts] < iv["valid_to"])]
-    out = pr.join(iv.drop(*keys) if not keys else iv, reduce(lambda a, c: a & c, cond), "left")
+    out = pr.join(iv, reduce(lambda a, c: a & c, cond), "left")
     return out.select(*[pr[c] for c in probe.columns], iv["valid_from"])
 
 

@@ -34,13 +34,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def round_digits(c, digits: int = 6):
+    """``round(x · 10^d) / 10^d`` — the scaled product is the same IEEE double in
+    Spark and DuckDB, so both engines round it the same way (rounding ``x``
+    directly differs: Spark rounds the decimal text, DuckDB the binary value)."""
+    k = float(10 ** digits)
+    return F.round(c * F.lit(k)) / F.lit(k)
+
+
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles/floats and make timestamps zone-free for comparison."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = round_digits(c.cast("double"), digits)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
@@ -52,7 +60,8 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def sql_r(expr: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+    k = 10 ** digits
+    return f"(round(CAST({expr} AS DOUBLE) * CAST({k} AS DOUBLE)) / CAST({k} AS DOUBLE))"
 
 
 def sql_bin_right(ts: str, rule_s: int, offset_s: int) -> str:
