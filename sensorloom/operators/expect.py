@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,8 +135,6 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 50, samp
     Arrow-batched pandas UDF over every row.  Not number-for-number equal to
     scikit-learn's implementation.
     """
-    import numpy as np
-    import pandas as pd
     from pyspark.sql.types import DoubleType
     rng = np.random.default_rng(seed)
     n = df.count()

@@ -35,11 +35,15 @@ def register(name: str, sql: str | None = None):
 
 
 def round_digits(c, digits: int = 6):
-    """``round(x · 10^d) / 10^d`` — the scaled product is the same IEEE double in
-    Spark and DuckDB, so both engines round it the same way (rounding ``x``
-    directly differs: Spark rounds the decimal text, DuckDB the binary value)."""
+    """``round(x · 10^d + 0.001) / 10^d`` in both engines.
+
+    The scaled product is the same IEEE double in Spark and DuckDB, so both
+    round it alike (rounding ``x`` directly differs: Spark rounds the decimal
+    text, DuckDB the binary value).  The 0.001 offset moves the rounding
+    boundary off exact decimal ties such as ``…0.5e-6``, where a last-bit
+    difference from a different summation order would flip the digit."""
     k = float(10 ** digits)
-    return F.round(c * F.lit(k)) / F.lit(k)
+    return F.round(c * F.lit(k) + F.lit(0.001)) / F.lit(k)
 
 
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -61,7 +65,7 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def sql_r(expr: str, digits: int = 6) -> str:
     k = 10 ** digits
-    return f"(round(CAST({expr} AS DOUBLE) * CAST({k} AS DOUBLE)) / CAST({k} AS DOUBLE))"
+    return f"(round(CAST({expr} AS DOUBLE) * CAST({k} AS DOUBLE) + CAST(0.001 AS DOUBLE)) / CAST({k} AS DOUBLE))"
 
 
 def sql_bin_right(ts: str, rule_s: int, offset_s: int) -> str:
