@@ -342,7 +342,8 @@ def project_select_drop(spark, sf_dir):
     d = P.drop_columns_thres(d, 80.0)
     d = P.select_columns(d, regex=r"^(ts|pos|click|error|purchase|signup|view)$")
     d = P.drop_columns(d, items=["pos"])
-    d = P.alias_cycle(d, ["click", "view"], ["cam_1", "cam_2", "cam_3"])
+    bases = [c for c in ("click", "view") if c in d.columns]  # columns kept by the screens
+    d = P.alias_cycle(d, bases, ["cam_1", "cam_2", "cam_3"]) if bases else d
     d = P.only_new_columns(d, ["cam_1", "cam_2", "cam_3"], keep=["ts"])
     return finish(d)
 

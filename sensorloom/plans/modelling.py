@@ -78,7 +78,7 @@ def baseline_metrics(spark, sf_dir):
 @register("split_fraction", f"""
 WITH h AS ({SQL_HOURLY}), n AS (SELECT count(*) AS n FROM h),
 r AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS pos FROM h)
-SELECT CASE WHEN pos < CAST(floor((SELECT n FROM n) * 0.7) AS BIGINT) THEN 'train' ELSE 'test' END AS part,
+SELECT CASE WHEN pos < CAST(floor((SELECT n FROM n) * CAST(0.7 AS DOUBLE)) AS BIGINT) THEN 'train' ELSE 'test' END AS part,
        count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts
 FROM r GROUP BY 1
 """)

@@ -127,7 +127,7 @@ def recommendations(spark, sf_dir):
     latest = latest.na.fill({"click": 50.0, "view": 50.0})
     cur = _objective()(latest).withColumnRenamed("objective", "objective_current")
     best = O.differential_evolution(latest, ["click", "view"], {"click": (5.0, 95.0), "view": (10.0, 90.0)},
-                                    _objective(), pop=12, max_gen=10, patience=5, tol=0.1)
+                                    _objective(), pop=12, max_gen=3, patience=5, tol=0.1)
     rec = O.recommendation_records(cur, best, ["click", "view"], ["error", "signup"])
     rows = O.control_rows(rec)
     up = O.uplift(rec).select("run_id", "uplift_pred", "uplift_pred_pct")
