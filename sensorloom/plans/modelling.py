@@ -144,11 +144,11 @@ def tuned_models_per_unit(spark, sf_dir):
     h = FX.hourly_wide(spark, sf_dir).na.drop(subset=["purchase"])
     best, res = M.tune(h, "ts", ["click", "error", "signup", "view"], "purchase", "gbt",
                        {"maxIter": [5, 10], "maxDepth": [2, 3]}, draws=2, n_splits=2, threads=2)
-    r = FX.regression_table(spark, sf_dir).join(
-        FX.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
-                                                  "l_returnflag").dropDuplicates(
-            ["l_orderkey", "l_linenumber", "l_partkey"]),
-        ["l_orderkey", "l_linenumber", "l_partkey"])
+    li = FX.table(spark, sf_dir, "lineitem")
+    r = li.select("l_returnflag", *FEATURES,
+                  (F.lit(3.0) * F.col("l_quantity") - F.lit(40.0) * F.col("l_discount")
+                   + F.lit(25.0) * F.col("l_tax")
+                   + ((F.col("l_partkey") % 7) - F.lit(3)).cast("double") / F.lit(10.0)).alias("y"))
     units = ["A", "N", "R"]
     models = M.model_per_unit(r, "l_returnflag", units, FEATURES, "y", "linear", threads=3)
     out = None
