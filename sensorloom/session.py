@@ -8,9 +8,15 @@ entry points only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, SparkSession
+
+_LOCAL_DIRS: dict[SparkContext, str] = {}
 
 
 def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -36,19 +42,52 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the cluster's shared checkpoint folder and register it.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/…) folder
-    and is used as is.  Only when it is unset — local tests — a scratch
-    folder is created and registered.
+    The folder is what ``spark.checkpoint.dir`` names (HDFS, S3, a shared
+    mount, …).  Only a single-machine ``local[...]`` session, as in tests, may
+    leave it unset and then gets a scratch folder; on a cluster an unset
+    folder is an error, because executors could not read each other's files.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="sensorloom-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if spark.sparkContext not in _LOCAL_DIRS:
+        _LOCAL_DIRS[spark.sparkContext] = tempfile.mkdtemp(prefix="sensorloom-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_DIRS[spark.sparkContext])
+    return _LOCAL_DIRS[spark.sparkContext]
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str):
+    """Runtime settings (``__`` for ``.``) that hold inside the block only."""
+    keys = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder; no two calls return the same."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorloom-{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back.
+
+    This cuts the lineage: a lost executor costs the tasks that were running,
+    never a finished step.  The write's shuffle files go when it ends, so a job
+    of many steps holds one step's shuffle on disk, not the sum."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
