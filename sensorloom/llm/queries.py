@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import simhash
+from sensorloom.llm import decontaminate, licenses, pieces, pii, quality, secrets, simhash, warc
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1_quality,
+        "op2_warc": warc.op2_warc,
+        "op3_licenses": licenses.op3_licenses,
+        "op4_secrets": secrets.op4_secrets,
+        "op5_sentencepiece": pieces.op5_sentencepiece,
+        "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_simhash": simhash.op7_simhash,
+        "op10_pii": pii.op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_quality": quality.op1_quality,
+        "op2_warc": warc.SQL,
+        "op3_licenses": licenses.SQL,
+        "op6_decontaminate": decontaminate.SQL,
+    }

@@ -176,13 +176,13 @@ def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     group = F.when(F.col("component_id").isNull(), F.col("fp")), F.col("component_id")
     firsts = rows.groupBy(group[0].alias("g"), group[1].alias("c")).agg(F.min(order).alias("k"))
-    copies = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
-    firsts = firsts.select(F.col("k.doc_id").alias("k_id"), F.col("k.text_hash").alias("k_hash")).distinct()
-    same = F.col("k_id").eqNullSafe(F.col("doc_id")) & (F.col("k_hash") == F.col("text_hash"))
-    firsts = written(firsts.join(copies, same).select("k_id", "k_hash", "copies"), "firsts")
-    hit = docs.join(firsts, F.col("k_id").eqNullSafe(docs["doc_id"]) & (F.col("k_hash") == F.xxhash64(docs["text"])))
-    one = hit.where("copies = 1").select(docs.columns)
-    return one.unionByName(hit.where("copies > 1").dropDuplicates(["k_id", "k_hash"]).select(docs.columns))
+    copies = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__sl_copies"))
+    firsts = firsts.select(F.col("k.doc_id").alias("__sl_id"), F.col("k.text_hash").alias("__sl_hash")).distinct()
+    same = F.col("__sl_id").eqNullSafe(F.col("doc_id")) & (F.col("__sl_hash") == F.col("text_hash"))
+    firsts = written(firsts.join(copies, same).select("__sl_id", "__sl_hash", "__sl_copies"), "firsts")
+    hit = docs.join(firsts, F.col("__sl_id").eqNullSafe(docs["doc_id"]) & (F.col("__sl_hash") == F.xxhash64(docs["text"])))
+    one = hit.where("__sl_copies = 1").select(docs.columns)
+    return one.unionByName(hit.where("__sl_copies > 1").dropDuplicates(["__sl_id", "__sl_hash"]).select(docs.columns))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
