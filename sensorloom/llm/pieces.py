@@ -287,11 +287,12 @@ def _per_row(docs: DataFrame, text: str, model: str | None, names: list[str], ki
     return docs.select(*rest, text).mapInArrow(run, schema)
 
 
-def encoded(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
-    """``docs`` with ``ids``, ``begins`` and ``ends`` (byte spans) in place of the text.
+def encoded(docs: DataFrame, text: str = "text", model: str | None = None, spans: bool = True) -> DataFrame:
+    """``docs`` with ``ids`` and, if ``spans``, ``begins`` and ``ends`` (byte spans) in place of the text.
 
-    Null and empty texts have empty arrays; columns of those three names are replaced; row order and number stay."""
-    return _per_row(docs, text, model, ["ids", "begins", "ends"], ["array<int>", "array<long>", "array<long>"], lambda tok, t: tok.encode(t))
+    Null and empty texts have empty arrays; columns of those names are replaced; row order and number stay."""
+    names, kinds = (["ids", "begins", "ends"], ["array<int>", "array<long>", "array<long>"]) if spans else (["ids"], ["array<int>"])
+    return _per_row(docs, text, model, names, kinds, lambda tok, t: tok.encode(t)[: len(names)])
 
 
 def round_trip(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import decontaminate, licenses, pieces, pii, quality, secrets, simhash, warc
+from sensorloom.llm import backoff, decontaminate, licenses, pieces, pii, quality, repeats, secrets, simhash, warc
 
 
 def queries() -> dict:
@@ -14,6 +14,8 @@ def queries() -> dict:
         "op5_sentencepiece": pieces.op5_sentencepiece,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_simhash": simhash.op7_simhash,
+        "op8_suffix_repeats": repeats.op8_suffix_repeats,
+        "op9_backoff": backoff.op9_backoff,
         "op10_pii": pii.op10_pii,
     }
 
@@ -24,4 +26,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.SQL,
         "op3_licenses": licenses.SQL,
         "op6_decontaminate": decontaminate.SQL,
+        "op8_suffix_repeats": repeats.SQL,
+        "op9_backoff": backoff.SQL,
     }
