@@ -110,7 +110,7 @@ def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL_WORDS = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-              r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')")
+              r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_SQL_WORDS} AS w FROM documents),
 tr AS (SELECT w FROM d WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)),

@@ -161,8 +161,8 @@ def _sql() -> str:
 
     def seq(lines: str) -> str:
         plain = f"regexp_replace(regexp_replace({lines}, '{ENDS}', chr(10), 'g'), '{NOISE}', ' ', 'g')"
-        return (f"array_to_string(list_transform(list_filter(list_transform(string_split({plain}, chr(10)), s -> trim(s)), s -> s <> ''), "
-                f"s -> coalesce({known}[s], CASE WHEN regexp_matches(s, 'licen|copyright') THEN '<?>' ELSE '<.>' END)), '')")
+        return (f"array_to_string(list_transform(list_filter(list_transform(string_split({plain}, chr(10)), lambda s: trim(s)), lambda s: s <> ''), "
+                f"lambda s: coalesce({known}[s], CASE WHEN regexp_matches(s, 'licen|copyright') THEN '<?>' ELSE '<.>' END)), '')")
 
     cue = " OR ".join(f"contains(t, '{c}')" for c in CUES)
     steps, last = [], "s"
@@ -178,7 +178,7 @@ s0 AS (SELECT doc_id, CASE WHEN {cue} THEN {seq('t')} ELSE '' END AS lines, CASE
 s AS (SELECT *, lines AS a FROM s0),
 {', '.join(steps)}
 SELECT doc_id, array_to_string(regexp_extract_all(lines, '<([A-Za-z0-9]+)>', 1), ',') AS sentences,
-       array_to_string(list_filter([{found}], x -> x IS NOT NULL), ',') AS licenses,
+       array_to_string(list_filter([{found}], lambda x: x IS NOT NULL), ',') AS licenses,
        CAST(len(regexp_extract_all(lines, '<([A-Za-z0-9]+)>', 1)) AS BIGINT) AS n_sentences,
        CAST(len(regexp_extract_all(a, '<[A-Za-z0-9]+>')) AS BIGINT) AS n_unmatched, CAST(len(regexp_extract_all(lines, '<[?]>')) AS BIGINT) AS n_unknown
 FROM {last}

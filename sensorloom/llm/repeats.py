@@ -173,7 +173,7 @@ def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT rid, i, md5(array_to_string(w[i + 1:i + {PASSAGE}], ' ')) AS h FROM (SELECT rid, w, unnest(range(0, greatest(len(w) - {PASSAGE - 1}, 0))) AS i FROM d)),
 t AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
 r AS (SELECT rid, i FROM g JOIN t USING (h)),

@@ -30,7 +30,7 @@ from sensorloom.sources.tables import table
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 MIXED = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z][A-Z0-9]{15}")
-WORD = re.compile(r"[^\W\d_]{3,20}")
+WORD = re.compile(r"(?<!\w)[^\W\d_]{3,20}(?!\w)")
 NEXT = re.compile(r"[^\W_]+")
 # What assigns a secret, known formats, and marks of paths.
 ASSIGN = re.compile(r"""(?i)(?:token|passw(?:or)?d|pwd|secret|credential|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s*(?:=>|[:=])\s*["']?$""")
@@ -101,7 +101,8 @@ def seed_label(value: str, before: str, words: Dictionary) -> float | None:
     if FORMATS.fullmatch(value):
         return 1.0
     kinds = char_classes(value.rstrip("="))
-    if set(kinds) <= {0, 3} or max(Counter(value).values()) > 0.5 * len(value) or words.coverage(value) >= 0.6:
+    letters = (kinds.count(1) + kinds.count(2)) / max(1, len(kinds))
+    if set(kinds) <= {0, 3} or max(Counter(value).values()) > 0.5 * len(value) or words.coverage(value) * letters >= 0.6:
         return 0.0
     if ASSIGN.search(before) and 0 in kinds and len(kinds) >= 16:
         return 1.0
