@@ -110,8 +110,9 @@ def safe_div(num: ColumnOrName, den: ColumnOrName, fill=None) -> Column:
     clean); ``0 / 0`` is always NULL.
     """
     n, d = col(num), col(den)
-    fill_col = F.lit(None).cast("double") if fill is None else F.lit(float(fill))
-    return (F.when(d == 0, F.when(n == 0, F.lit(None).cast("double")).otherwise(fill_col))
+    if fill is None:  # each operand once: nested ratios stay small
+        return F.try_divide(n.cast("double"), d)
+    return (F.when(d == 0, F.when(n == 0, F.lit(None).cast("double")).otherwise(F.lit(float(fill))))
             .otherwise(n.cast("double") / d))
 
 

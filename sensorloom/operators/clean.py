@@ -16,14 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.exprs import clip, cut, non_negative
-from sensorloom.operators.joins import maybe_broadcast
+from sensorloom.operators.quantiles import column_quantiles
 
 
-def _pct(c: str, q: float, exact: bool = True, accuracy: int = 10_000):
-    """Linear-interpolated quantile (pandas/numpy default); approximate on request."""
+def _quantiles(df: DataFrame, cols: Sequence[str], qs: dict[str, float], exact: bool = True,
+               accuracy: int = 10_000) -> dict:
+    """``{"name|col": quantile}``: linear-interpolated (pandas/numpy default), approximate on request."""
     if exact:
-        return F.percentile(F.col(c), F.lit(float(q)))
-    return F.percentile_approx(F.col(c), F.lit(float(q)), accuracy)
+        got = column_quantiles(df, cols, list(qs.values()))
+        return {f"{n}|{c}": got[c][i] for c in cols for i, n in enumerate(qs)}
+    return _stats_row(df, {f"{n}|{c}": F.percentile_approx(F.col(c), F.lit(float(q)), accuracy)
+                           for c in cols for n, q in qs.items()})
 
 
 def _others(df: DataFrame, cols: Sequence[str]) -> list:
@@ -81,7 +84,7 @@ def replace_outliers_by_nan(long_df: DataFrame, tag_dict: DataFrame, tag_col: st
     One-sided or missing ranges leave that side open.  The dictionary has one
     row per tag and is broadcast after a size check.
     """
-    rng = maybe_broadcast(tag_dict.select(F.col("tag").alias(tag_col), "range_min", "range_max"))
+    rng = tag_dict.select(F.col("tag").alias(tag_col), "range_min", "range_max")
     j = long_df.join(rng, tag_col, "left")
     v = F.col(value_col)
     bad = (F.col("range_min").isNotNull() & (v < F.col("range_min"))) | \
@@ -98,8 +101,7 @@ def _stats_row(df: DataFrame, exprs: dict) -> dict:
 def remove_outliers_quantile(df: DataFrame, cols: Sequence[str], bottom: float, top: float,
                              exact: bool = True) -> DataFrame:
     """CLN5: outside the column's own ``[q_bottom, q_top]`` → NULL (one stats job)."""
-    st = _stats_row(df, {**{f"lo|{c}": _pct(c, bottom, exact) for c in cols},
-                         **{f"hi|{c}": _pct(c, top, exact) for c in cols}})
+    st = _quantiles(df, cols, {"lo": bottom, "hi": top}, exact)
     return cut_values_from_dict(df, {c: (st[f"lo|{c}"], st[f"hi|{c}"]) for c in cols})
 
 
@@ -109,12 +111,10 @@ def remove_outliers_esp(df: DataFrame, cols: Sequence[str], exact: bool = True)
 
     Two aggregate jobs (the second needs the clip bounds of the first).
     """
-    st = _stats_row(df, {**{f"p0|{c}": _pct(c, 0.0, exact) for c in cols},
-                         **{f"p99|{c}": _pct(c, 0.99, exact) for c in cols}})
+    st = _quantiles(df, cols, {"p0": 0.0, "p99": 0.99}, exact)
     clipped = df.select(*_others(df, cols),
                         *[clip(c, st[f"p0|{c}"], st[f"p99|{c}"]).alias(c) for c in cols])
-    st2 = _stats_row(clipped, {**{f"med|{c}": _pct(c, 0.5, exact) for c in cols},
-                               **{f"p95|{c}": _pct(c, 0.95, exact) for c in cols}})
+    st2 = _quantiles(clipped, cols, {"med": 0.5, "p95": 0.95}, exact)
     st3 = _stats_row(clipped, {f"sd|{c}": F.stddev_samp(F.when(F.col(c) < F.lit(st2[f"p95|{c}"]),
                                                                  F.col(c)))
                                for c in cols if st2[f"p95|{c}"] is not None})
@@ -129,7 +129,7 @@ def remove_outliers_esp(df: DataFrame, cols: Sequence[str], exact: bool = True)
 
 def data_imputation(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """CLN7 + CLN14: fill NULL with the column median, then negatives → 0."""
-    st = _stats_row(df, {c: _pct(c, 0.5, exact) for c in cols})
+    st = {k.partition("|")[2]: v for k, v in _quantiles(df, cols, {"med": 0.5}, exact).items()}
     return df.select(*_others(df, cols),
                      *[non_negative(F.coalesce(F.col(c), F.lit(st[c]))).alias(c)
                        if st[c] is not None else non_negative(c).alias(c) for c in cols])

@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorloom.operators.quantiles import column_quantiles
 from sensorloom.operators.reshape import to_long
 
 
@@ -30,12 +31,13 @@ def scale(df: DataFrame, cols: Sequence[str], method: str = "standard") -> DataF
     if method == "standard":
         aggs = [F.avg(c).alias(f"c|{c}") for c in cols] + [F.stddev_samp(c).alias(f"s|{c}") for c in cols]
     elif method == "robust":
-        aggs = [F.percentile(F.col(c), F.lit(0.5)).alias(f"c|{c}") for c in cols] + \
-               [(F.percentile(F.col(c), F.lit(0.75)) - F.percentile(F.col(c), F.lit(0.25))).alias(f"s|{c}")
-                for c in cols]
+        got = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+        st = {f"c|{c}": m for c, (_, m, _) in got.items()}
+        st |= {f"s|{c}": None if a is None else b - a for c, (a, _, b) in got.items()}
     else:
         raise ValueError("method must be standard or robust")
-    st = df.agg(*aggs).first().asDict()
+    if method == "standard":
+        st = df.agg(*aggs).first().asDict()
     others = [c for c in df.columns if c not in cols]
     return df.select(*others, *[((F.col(c) - F.lit(st[f"c|{c}"])) / F.lit(st[f"s|{c}"])).alias(c)
                                 if st[f"s|{c}"] else F.col(c) for c in cols])
@@ -73,14 +75,16 @@ def kl_metrics(df: DataFrame, cluster_vars: Sequence[str], metric_vars: Sequence
     grid = grid.select("var", "k", (F.col("lo") + F.col("k") * F.lit(step)).alias("x"))
     pdf = grid.join(fit, "var").select(
         "var", "k", "lab",
-        (F.exp(-((F.col("x") - F.col("mu")) ** 2) / (F.lit(2.0) * F.col("sd") ** 2))
-         / (F.col("sd") * F.lit(math.sqrt(2 * math.pi)))).alias("p"))
+        (-F.try_divide((F.col("x") - F.col("mu")) ** 2, F.lit(2.0) * F.col("sd") ** 2)
+         - F.log(F.col("sd") * F.lit(math.sqrt(2 * math.pi)))).alias("lp"))
     a = pdf.where(F.col("lab") != noise_label).alias("a")
     b = pdf.where(F.col("lab") != noise_label).alias("b")
     pr = a.join(b, (F.col("a.var") == F.col("b.var")) & (F.col("a.k") == F.col("b.k"))
                 & (F.col("a.lab") < F.col("b.lab")))
-    p, q = F.col("a.p"), F.col("b.p")
-    term = F.when(p != 0, p * F.log(p / q)).otherwise(0.0) + F.when(q != 0, q * F.log(q / p)).otherwise(0.0)
+    # from the logs, so that a far cluster whose density is 0 as a double does not divide by it;
+    # a cluster without spread has no density and leaves its pairs out
+    gap = F.col("a.lp") - F.col("b.lp")
+    term = F.exp("a.lp") * gap - F.exp("b.lp") * gap
     kl = pr.groupBy(F.col("a.var").alias("var"), F.col("a.lab").alias("la"), F.col("b.lab").alias("lb")) \
         .agg(F.sum(term).alias("kl"))
     cv = kl.where(F.col("var").isin(list(cluster_vars))).groupBy("var").agg(F.max("kl").alias("m"))

@@ -9,13 +9,17 @@ halo-bucket windows (no whole-series window in one task).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators import windows as W
+from sensorloom.operators.quantiles import column_quantiles, exact_quantiles
+from sensorloom.session import written
 
 RESULT = "check string, column string, success boolean, observed string"
 
@@ -75,17 +79,15 @@ def flatline(long_pos: DataFrame, keys: Sequence[str], window: int,
 
 def quantile_anomaly(long: DataFrame, keys: Sequence[str], low: float, high: float) -> DataFrame:
     """QC14: values outside the key's own ``[q_low, q_high]`` (exact quantiles)."""
-    q = long.groupBy(*keys).agg(F.percentile("value", F.lit(low)).alias("_lo"),
-                                F.percentile("value", F.lit(high)).alias("_hi"))
-    j = long.join(F.broadcast(q), list(keys))
+    q = exact_quantiles(long, keys, "value", [low, high]).withColumnsRenamed({"q0": "_lo", "q1": "_hi"})
+    j = long.join(q, list(keys), "left")
     return j.withColumn("anomaly", F.coalesce((F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi")),
                                               F.lit(False))).drop("_lo", "_hi")
 
 
 def _iqr_flag(d: DataFrame, keys: Sequence[str], col: str, factor: float, side: str) -> DataFrame:
-    q = d.groupBy(*keys).agg(F.percentile(col, F.lit(0.25)).alias("_q1"),
-                             F.percentile(col, F.lit(0.75)).alias("_q3"))
-    j = d.join(F.broadcast(q), list(keys))
+    q = exact_quantiles(d, keys, col, [0.25, 0.75]).withColumnsRenamed({"q0": "_q1", "q1": "_q3"})
+    j = d.join(q, list(keys), "left")
     iqr = F.col("_q3") - F.col("_q1")
     hi = F.col(col) > F.col("_q3") + F.lit(factor) * iqr
     lo = F.col(col) < F.col("_q1") - F.lit(factor) * iqr
@@ -113,15 +115,48 @@ def persist_shift(long_pos: DataFrame, keys: Sequence[str], window: int, factor:
 
 
 def kmeans_anomaly(df: DataFrame, cols: Sequence[str], k: int = 2, seed: int = 1) -> DataFrame:
-    """QC16: k-means on the sensor vector; rows of the smallest cluster are anomalous."""
+    """QC16: k-means on the sensor vector; rows of the smallest cluster are anomalous.
+
+    Rows with a NULL sensor cannot be clustered: they stay, with NULL cluster and anomaly."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols])
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df.where(whole))
     lab = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(vec).transform(vec)
     sizes = lab.groupBy("_c").count()
     smallest = sizes.orderBy("count", "_c").limit(1).select(F.col("_c").alias("_s"))
-    return lab.join(F.broadcast(smallest), F.col("_c") == F.col("_s"), "left") \
+    out = lab.join(smallest, F.col("_c") == F.col("_s"), "left") \
         .withColumn("anomaly", F.col("_s").isNotNull()).drop("_v", "_s").withColumnRenamed("_c", "cluster")
+    rest = df.where(~F.coalesce(whole, F.lit(False)))
+    return out.unionByName(rest.withColumns({"cluster": F.lit(None).cast("int"), "anomaly": F.lit(None).cast("boolean")}))
+
+
+def _average_path(n):
+    """Mean depth of a failed search among ``n`` points."""
+    n = np.maximum(n, 2)
+    return np.where(n > 2, 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n, 1.0)
+
+
+def _grow(x: np.ndarray, depth: int, rng) -> list[tuple]:
+    """A random split tree as rows ``(column, split, left, right, path)``; leaves have column −1 and their path length."""
+    nodes: list[tuple] = []
+
+    def add(part: np.ndarray, level: int) -> int:
+        at = len(nodes)
+        nodes.append(())
+        low, high = (part.min(axis=0), part.max(axis=0)) if len(part) else (np.zeros(0), np.zeros(0))
+        open_ = np.nonzero(low < high)[0]
+        if level >= depth or not len(open_):
+            nodes[at] = (-1, 0.0, 0, 0, level + (float(_average_path(len(part))) if len(part) > 1 else 0.0))
+            return at
+        j = int(rng.choice(open_))
+        split = float(rng.uniform(low[j], high[j]))
+        side = part[:, j] < split
+        nodes[at] = (j, split, add(part[side], level + 1), add(part[~side], level + 1), 0.0)
+        return at
+
+    add(x, 0)
+    return nodes
 
 
 def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 50, sample: int = 256,
@@ -129,62 +164,64 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 50, samp
     """QC17: isolation-forest score ``2^(−E[h]/c(ψ))`` per row, anomalous above the
     ``1 − contamination`` quantile of the scores.
 
-    Trees are grown on the driver from ``n_trees`` small samples (``sample``
-    rows each — a bounded sample by design of the method, drawn with
-    ``sampleBy``-free seeded hashes), then broadcast; scoring runs as an
-    Arrow-batched pandas UDF over every row.  Not number-for-number equal to
-    scikit-learn's implementation.
+    Each tree draws about ``sample`` rows of the whole table by a seeded hash of
+    the row and the tree, and is grown in a task of its own; the trees (bounded
+    by ``n_trees`` and ``sample``) go to all tasks, which walk them level by level
+    for a batch of rows at once.  Rows with a NULL sensor stay, with NULL score
+    and anomaly.  Not number-for-number equal to other libraries' forests.
     """
-    from pyspark.sql.types import DoubleType
-    rng = np.random.default_rng(seed)
-    n = df.count()
-    frac = min(1.0, 2.0 * n_trees * sample / max(n, 1))
-    pool = df.select(*cols).na.drop().sample(False, frac, seed).limit(n_trees * sample * 2).toPandas().to_numpy()
-    trees = []
-
-    def grow(x, depth, limit):
-        if depth >= limit or len(x) <= 1:
-            return ("leaf", len(x))
-        j = rng.integers(x.shape[1])
-        lo, hi = x[:, j].min(), x[:, j].max()
-        if lo == hi:
-            return ("leaf", len(x))
-        s = rng.uniform(lo, hi)
-        return ("node", j, s, grow(x[x[:, j] < s], depth + 1, limit), grow(x[x[:, j] >= s], depth + 1, limit))
-    limit = int(np.ceil(np.log2(max(sample, 2))))
-    for _ in range(n_trees):
-        idx = rng.choice(len(pool), size=min(sample, len(pool)), replace=False) if len(pool) else []
-        trees.append(grow(pool[idx], 0, limit) if len(pool) else ("leaf", 0))
-
-    def c(m):
-        return 0.0 if m <= 1 else 2.0 * (np.log(m - 1) + 0.5772156649) - 2.0 * (m - 1) / m
-    cn = c(min(sample, max(len(pool), 2)))
+    x = [F.col(c).cast("double") for c in cols]
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() & ~F.isnan(c) for c in x])
+    vectors = df.where(whole).select(F.array(*x).alias("x"))
+    n = vectors.count()
+    share = min(1.0, sample / max(n, 1))
+    draw = F.pmod(F.xxhash64(F.col("x"), F.col("tree"), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+    drawn = vectors.select("x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")).where(draw)
+    depth = int(np.ceil(np.log2(max(sample, 2))))
+
+    def plant(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = int(pdf["tree"].iloc[0])
+        rows = np.array(sorted(map(tuple, pdf["x"])), dtype=float)  # the order rows arrive in must not matter
+        nodes = _grow(rows, depth, np.random.default_rng([seed, tree]))
+        out = pd.DataFrame(nodes, columns=["column", "split", "left", "right", "path"])
+        return out.assign(tree=tree, node=range(len(out)))
+
+    grown = drawn.groupBy("tree").applyInPandas(plant, "column int, split double, left int, right int, path double, tree int, node int")
+    rows = grown.orderBy("tree", "node").toPandas()  # at most n_trees · 4 · sample nodes
+    trees = [g[["column", "split", "left", "right", "path"]].to_numpy().T for _, g in rows.groupby("tree")]
     bc = df.sparkSession.sparkContext.broadcast(trees)
+    usual = float(_average_path(min(sample, max(n, 2))))
 
-    def path(t, row, d=0):
-        while t[0] == "node":
-            t = t[3] if row[t[1]] < t[2] else t[4]
-            d += 1
-        return d + c(t[1])
-
-    @F.pandas_udf(DoubleType())
+    @F.pandas_udf("double")
     def score(vecs: pd.Series) -> pd.Series:
-        x = np.array([np.asarray(v, dtype=float) for v in vecs]) if len(vecs) else np.zeros((0, 1))
-        ts = bc.value
-        out = np.array([np.mean([path(t, r) for t in ts]) for r in x]) if len(x) else np.array([])
-        return pd.Series(np.power(2.0, -out / cn))
-    scored = df.withColumn("iso_score", score(F.array(*[F.col(c).cast("double") for c in cols])))
-    thr = scored.agg(F.percentile("iso_score", F.lit(1.0 - contamination))).first()[0]
-    return scored.withColumn("anomaly", F.col("iso_score") > F.lit(thr))
+        out = np.full(len(vecs), np.nan)
+        good = np.array([v is not None and all(y is not None and y == y for y in v) for v in vecs], dtype=bool)
+        if good.any() and bc.value:
+            data = np.stack([np.asarray(v, dtype=float) for v, g in zip(vecs, good) if g])
+            total = np.zeros(len(data))
+            for column, split, left, right, path in bc.value:
+                at = np.zeros(len(data), dtype=int)
+                for _ in range(depth):
+                    j = column[at].astype(int)
+                    below = data[np.arange(len(data)), np.maximum(j, 0)] < split[at]
+                    at = np.where(j < 0, at, np.where(below, left[at], right[at]).astype(int))
+                total += path[at]
+            out[good] = np.power(2.0, -total / len(bc.value) / usual)
+        return pd.Series(out)
+
+    scored = written(df.withColumn("iso_score", F.nanvl(score(F.array(*x)), F.lit(None).cast("double"))), "scored")
+    (threshold,) = column_quantiles(scored, ["iso_score"], [1.0 - contamination])["iso_score"]
+    return scored.withColumn("anomaly", F.col("iso_score") > F.lit(threshold).cast("double"))
 
 
 def histogram(long: DataFrame, keys: Sequence[str], bins: int = 30) -> DataFrame:
-    """QC18: 30-bin histogram per key — ``groupBy(key, bin).count`` (no drawing)."""
-    mm = long.groupBy(*keys).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
-    j = long.where(F.col("value").isNotNull()).join(F.broadcast(mm), list(keys))
-    w = (F.col("_mx") - F.col("_mn")) / F.lit(float(bins))
+    """QC18: 30-bin histogram per key, empty bins with count 0 (no drawing); keys without values have none."""
+    mm = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    j = long.where(F.col("value").isNotNull()).join(mm, list(keys))
+    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(w == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("_mn")) / w), F.lit(bins - 1))).cast("int")
-    return j.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"),
-                                                F.min("_mn").alias("lo"), F.min("_mx").alias("hi"))
-
+        F.least(F.floor((F.col("value") - F.col("lo")) / w), F.lit(bins - 1))).cast("int")
+    counts = j.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = mm.where(F.col("lo").isNotNull()).select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = grid.join(counts, [*keys, "bin"], "left")
+    return out.select(*keys, "bin", F.coalesce("count", F.lit(0).cast("long")).alias("count"), "lo", "hi")

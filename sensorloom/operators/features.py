@@ -69,6 +69,24 @@ def flotation_targets(conc: str, feed: str, tails: Sequence[str], weights: Seque
     return out
 
 
+def with_flotation_targets(df: DataFrame, conc: str, feed: str, tails: Sequence[str], weights: Sequence[float],
+                           prefix: str, feed_range=(0.5, 2.0), tail_range=(0.02, 0.4)) -> DataFrame:
+    """FEA6 as columns added to ``df``: the same values as :func:`flotation_targets`, in steps.
+
+    Each step reads columns of the one before, so that no input expression is
+    written out several times inside another and the generated code stays small."""
+    c = col(conc)
+    names = [f"_t{i}" for i in range(len(tails))]
+    d = df.withColumns({"_f": cut(feed, *feed_range), **{n: cut(t, *tail_range) for n, t in zip(names, tails)}})
+    d = d.withColumn("_tw", sum((F.col(n) * F.lit(float(w)) for n, w in zip(names, weights)), F.lit(0.0)))
+    f = F.col("_f")
+    raw = {f"{prefix}_recup_peso_l{i + 1}": safe_div(f - F.col(n), c - F.col(n)) for i, n in enumerate(names)}
+    raw |= {f"{prefix}_recup_l{i + 1}": safe_div(c * (f - F.col(n)), f * (c - F.col(n))) for i, n in enumerate(names)}
+    raw[f"{prefix}_recup_wt"] = safe_div(c * (f - F.col("_tw")), f * (c - F.col("_tw")))
+    d = d.withColumns(raw)
+    return d.withColumns({n: cut(n, 0, 1) for n in raw}).drop("_f", "_tw", *names)
+
+
 def fine_copper(tph: Sequence[str], recovery: Column | str, feed: str) -> Column:
     """FEA7: ``Σ tph · recovery · feed / 100`` (±inf → NULL)."""
     return row_sum(tph) * col(recovery) * col(feed) / F.lit(100.0)
@@ -87,7 +105,12 @@ def specific_power(tonnes: Sequence[str], power: str, factor: float) -> Column:
 def reagent_dosing(reagent: str, tph: Sequence[str], density: float, dry_load: float,
                    lo: float, hi: float) -> Column:
     """FEA11: cc/min → g/t ``x · density · 60 / (Σ tph · dry)``, cut to ``[lo, hi]``."""
-    return cut(safe_div(col(reagent) * F.lit(density * 60.0), row_sum(tph) * F.lit(dry_load)), lo, hi)
+    return cut(reagent_ratio(reagent, tph, density, dry_load), lo, hi)
+
+
+def reagent_ratio(reagent: str, tph: Sequence[str], density: float, dry_load: float) -> Column:
+    """FEA11 before the cut."""
+    return safe_div(col(reagent) * F.lit(density * 60.0), row_sum(tph) * F.lit(dry_load))
 
 
 def total_tph(tph: Sequence[str]) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.exprs import all_of, any_of, cut, open_interval
+from sensorloom.operators.quantiles import column_quantiles
 
 
 def filter_date_range(df: DataFrame, as_of: datetime, months: int, ts_col: str = "ts",
@@ -83,6 +84,8 @@ def filter_timestamp_optimization(df: DataFrame, start=None, end=None, mode: str
     if mode == "list":
         lst = d.sparkSession.createDataFrame([(s,) for s in stamps or []], f"{ts_col} timestamp_ntz")
         out = d.join(lst, ts_col, "left_semi")
+        if out.limit(1).count() == 0:
+            raise ValueError("none of the listed timestamps is in the data")
         return out
     raise ValueError("mode must be beginning, end or list")
 
@@ -112,7 +115,9 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 def envelope_filter(df: DataFrame, ranges: Mapping[str, Sequence]) -> DataFrame:
     """FLT12: AND of closed range predicates (NULL fails), then ±inf → NULL."""
     preds = [cut(c, lo, hi).isNotNull() for c, (lo, hi) in ranges.items()]
-    return df.where(all_of(preds))
+    kept = df.where(all_of(preds))
+    return kept.withColumns({c: F.when(F.abs(F.col(c)) != float("inf"), F.col(c))
+                             for c, t in df.dtypes if t in ("double", "float")})
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -123,9 +128,9 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 def above_own_quantile(df: DataFrame, col: str, q: float = 0.1) -> DataFrame:
     """FLT14: keep rows whose ``col`` exceeds its own ``q`` quantile (train only).
 
-    The quantile is one scalar aggregate, read once and used as a literal.
+    The exact quantile is one number, read once and used as a literal.
     """
-    p = df.agg(F.percentile(F.col(col), F.lit(q)).alias("p")).first()["p"]
+    (p,) = column_quantiles(df, [col], [q])[col]
     return df.where(F.col(col) > F.lit(p)) if p is not None else df.limit(0)
 
 

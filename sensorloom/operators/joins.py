@@ -6,8 +6,7 @@
   so no global ordering window ever runs on the large side (JOI7).
 * Interval anti/semi joins for shutdowns and KS windows (FLT4, JOI17).
 
-Broadcast is used only behind an explicit row-count check of the small side
-(``BROADCAST_ROW_LIMIT``); above it the same plans run as shuffle joins.
+No side is hinted: adaptive execution broadcasts a side by its measured size.
 """
 
 from __future__ import annotations
@@ -22,15 +21,6 @@ from sensorloom.functions.exprs import (
     MICROS_PER_SECOND, epoch_us, seconds, shift_time,
 )
 
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if a count proves it holds at most ``limit`` rows."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:
     """Raise if ``keys`` repeat in ``df`` (the reference's ``validate="1:1"``)."""
     dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
@@ -116,7 +106,6 @@ def asof_backward(probe: DataFrame, ref: DataFrame, probe_ts: str, ref_ts: str,
     hi_b = F.floor(F.coalesce(epoch_us("valid_to"), F.lit(pmax)) / F.lit(b))
     iv = iv.select(*keys, "valid_from", "valid_to",
                    F.explode(F.sequence(lo_b, F.greatest(lo_b, hi_b))).alias("_bucket"))
-    iv = maybe_broadcast(iv)
     pr = probe.withColumn("_bucket", F.floor(epoch_us(probe_ts) / F.lit(b)))
     cond = [pr["_bucket"] == iv["_bucket"]] + [pr[k] == iv[k] for k in keys]
     cond += [pr[probe_ts] >= iv["valid_from"],
@@ -142,15 +131,17 @@ def exclude_intervals(df: DataFrame, intervals: DataFrame, ts_col: str = "ts",
                       start_col: str = "start_ts", end_col: str = "end_ts") -> DataFrame:
     """FLT2/FLT4: drop rows inside any closed ``[start, end]`` interval.
 
-    Intervals are parameters (a handful of shutdowns) but their count is
-    still checked before broadcasting; the anti join is a nested-loop
-    join against the small side, never a cross product on the large side.
+    Intervals are cut into days, so the anti join is an equi join on the day
+    with the bounds as a further condition, whatever the number of intervals.
     """
     bad = intervals.where(F.col(end_col) <= F.col(start_col)).limit(1).count()
     if bad:
         raise ValueError("shutdown interval with end <= start")
-    iv = maybe_broadcast(intervals.select(start_col, end_col))
-    cond = (df[ts_col] >= iv[start_col]) & (df[ts_col] <= iv[end_col])
+    def day(c):
+        return F.floor(epoch_us(c) / F.lit(86_400 * MICROS_PER_SECOND))
+    iv = intervals.select(F.col(start_col).alias("_from"), F.col(end_col).alias("_to"),
+                          F.explode(F.sequence(day(start_col), day(end_col))).alias("_day"))
+    cond = (day(df[ts_col]) == F.col("_day")) & (df[ts_col] >= F.col("_from")) & (df[ts_col] <= F.col("_to"))
     return df.join(iv, cond, "left_anti")
 
 

@@ -175,8 +175,11 @@ def tune(df: DataFrame, ts_col: str, features: Sequence[str], target: str, kind:
         res = list(ex.map(run, tasks))
     spark = df.sparkSession
     results = spark.createDataFrame(res, "draw int, params string, fold int, rmse double")
-    best_i = min(range(len(draws_p)),
-                 key=lambda i: sum(r[3] for r in res if r[0] == i and r[3] is not None))
+
+    def mean_rmse(i):
+        got = [r[3] for r in res if r[0] == i and r[3] is not None]
+        return sum(got) / len(got) if got else float("inf")  # a draw that no fold could score never wins
+    best_i = min(range(len(draws_p)), key=mean_rmse)
     best = fit(folded, features, target, load_regressor(kind, **draws_p[best_i]))
     folded.unpersist()
     return best, results

@@ -62,7 +62,7 @@ def solver_bounds(current: DataFrame, td: DataFrame, value_col: str = "value") -
     operating limit leaves that side to the other term.  ``bad_bounds`` flags
     ``lo > hi``."""
     t = td.select("tag", "op_min", "op_max", "max_delta")
-    j = current.join(F.broadcast(t), "tag", "left")
+    j = current.join(t, "tag", "left")
     x, d = F.col(value_col), F.col("max_delta")
     lo = F.greatest(F.col("op_min"), x - d)
     hi = F.least(F.col("op_max"), x + d)
@@ -101,7 +101,7 @@ def control_range(td: DataFrame, n_points: int = 50) -> DataFrame:
     """OPT14: ``(tag, values ARRAY<DOUBLE>)`` — the constraint set (cast to int),
     else ``n`` steps over the operating range, else over the physical range;
     upper end excluded."""
-    cs = F.transform(parse_constraint_set("constraint_set"), lambda v: F.floor(v).cast("double"))
+    cs = F.transform(parse_constraint_set("constraint_set"), lambda v: v.cast("long").cast("double"))
     lo = F.coalesce(F.col("op_min"), F.col("range_min"))
     hi = F.coalesce(F.col("op_max"), F.col("range_max"))
     step = (hi - lo) / F.lit(float(n_points))
@@ -125,8 +125,8 @@ def sensitivity(states: DataFrame, ranges: DataFrame, objective: Objective,
     rng = {r["tag"]: r["values"] for r in ranges.collect()}  # one row per control
     parts = []
     for ctl, vals in rng.items():
-        if vals is None:
-            continue
+        if not vals or any(v is None for v in vals):
+            raise ValueError(f"control {ctl!r} has neither a constraint set nor a range")
         e = states.select("*", F.explode(F.array(*[F.lit(float(v)) for v in vals])).alias("_v"))
         e = e.withColumn(ctl, F.col("_v")).withColumn("control", F.lit(ctl)) \
              .withColumnRenamed("_v", "control_value")
@@ -243,10 +243,11 @@ def uplift(records: DataFrame, actual: DataFrame | None = None, run_col: str = "
     d = records.select(run_col, "ts", "objective_current", "objective_suggested",
                        (F.col("objective_suggested") - F.col("objective_current")).alias("uplift_pred"))
     from sensorloom.functions.exprs import safe_div
-    d = d.withColumn("uplift_pred_pct", F.lit(100.0) * safe_div("uplift_pred", F.abs(F.col("objective_current"))))
+    d = d.withColumn("uplift_pred_pct", F.lit(100.0) * safe_div("uplift_pred", "objective_current"))
     if actual is not None:
         d = d.join(actual, run_col, "left").withColumn(
             "uplift_actual", F.col("objective_suggested") - F.col("actual"))
+        d = d.withColumn("uplift_actual_pct", F.lit(100.0) * safe_div("uplift_actual", "actual"))
     return d
 
 

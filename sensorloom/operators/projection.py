@@ -20,7 +20,8 @@ from sensorloom.functions.naming import parse_name
 def parse_and_coerce(df: DataFrame, ts_col: str, order_col: str | None = None) -> DataFrame:
     """PRJ3: PRJ1 names, numeric coercion of every other column (``try_cast``,
     NaN → NULL), first of duplicate column names, first row per duplicate
-    timestamp (by ``order_col`` ingest order when given)."""
+    timestamp (by ``order_col`` ingest order when given, else the row with the
+    smallest values)."""
     seen, cols = set(), []
     for c in df.columns:
         n = parse_name(c)
@@ -34,7 +35,10 @@ def parse_and_coerce(df: DataFrame, ts_col: str, order_col: str | None = None) -
     out = df.select(*cols)
     ts = parse_name(ts_col)
     if order_col is None:
-        return out.dropDuplicates([ts])
+        # no ingest order: the smallest row, so that a retried task keeps the same one
+        rest = [c for c in out.columns if c != ts]
+        one = out.groupBy(ts).agg(F.min(F.struct(*rest)).alias("_r"))
+        return one.select(*[F.col(c) if c == ts else F.col(f"_r.{c}").alias(c) for c in out.columns])
     from sensorloom.operators.filters import dedupe
     return dedupe(out, [ts], parse_name(order_col), keep="first")
 

@@ -3,7 +3,7 @@
 Input is the long layout ``(tag, ts, value)`` (plus ``pos`` where runs are
 needed), so every statistic is one ``groupBy("tag", …)`` for all tags at
 once — the reference loops over columns in Python, one pass per column.
-Tables that are one row per tag are joined with ``maybe_broadcast``.
+Tables that are one row per tag are plain joins: adaptive execution broadcasts by size.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.exprs import MICROS_PER_SECOND, epoch_us
 from sensorloom.operators import windows as W
-from sensorloom.operators.joins import maybe_broadcast
+from sensorloom.operators.quantiles import running_counts
 
 # Thresholds of the quality table flags (strict comparisons).
 QA_THRESHOLDS = {"mean": 90, "max_null_window": 3600, "kurtosis": 200,
@@ -84,7 +84,7 @@ def ks_stability(long: DataFrame, windows: DataFrame, ts_col: str = "ts",
     Rows are routed to windows by an equi join on a day bucket (each window
     covers a bounded number of days), values are pre-counted per
     (tag, window, value, sample), and ``D = max |F1 − F2|`` is read at the end
-    of each tie group from running sums ordered by value.
+    of each tie group from running sums over sorted value ranges.
     Returns ``(tag, start_date, end_date, ks, n1, n2, is_unstable)``.
     """
     day = 86_400 * MICROS_PER_SECOND
@@ -92,7 +92,6 @@ def ks_stability(long: DataFrame, windows: DataFrame, ts_col: str = "ts",
         "start1", "end1", "start2", "end2",
         F.explode(F.sequence(F.floor(epoch_us("start1") / day),
                              F.floor(epoch_us("end2") / day))).alias("_d"))
-    w = maybe_broadcast(w)
     d = long.where(F.col("value").isNotNull()).withColumn("_d", F.floor(epoch_us(ts_col) / day))
     j = d.join(w, "_d")
     s1 = (F.col(ts_col) >= F.col("start1")) & (F.col(ts_col) <= F.col("end1"))
@@ -102,11 +101,9 @@ def ks_stability(long: DataFrame, windows: DataFrame, ts_col: str = "ts",
     vc = j.groupBy("tag", "start1", "end2", "value").agg(F.sum("_a").alias("_a"),
                                                          F.sum("_b").alias("_b"))
     key = ["tag", "start1", "end2"]
-    tot = Window.partitionBy(*key)
-    run = Window.partitionBy(*key).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.select(*key, "value",
-                   F.sum("_a").over(run).alias("_ca"), F.sum("_b").over(run).alias("_cb"),
-                   F.sum("_a").over(tot).alias("n1"), F.sum("_b").over(tot).alias("n2"))
+    vc = running_counts(vc, key, "value", ["_a", "_b"])
+    vc = vc.select(*key, "value", F.col("cum__a").alias("_ca"), F.col("cum__b").alias("_cb"),
+                   F.col("all__a").alias("n1"), F.col("all__b").alias("n2"))
     diff = F.abs(F.col("_ca") / F.col("n1") - F.col("_cb") / F.col("n2"))
     ks = vc.where((F.col("n1") > 0) & (F.col("n2") > 0)).groupBy(*key).agg(
         F.max(diff).alias("ks"), F.first("n1").alias("n1"), F.first("n2").alias("n2"))
@@ -124,9 +121,10 @@ def ks_pvalue(ks_col: str = "ks", n1: str = "n1", n2: str = "n2", terms: int = 1
     return F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
 
 
-def ks_summary(ks: DataFrame) -> DataFrame:
-    """Per tag: % of windows flagged unstable (the reference's ``ks_test_sum``)."""
-    return ks.groupBy("tag").agg((F.lit(100.0) * F.avg("is_unstable")).alias("pct_unstable"))
+def ks_summary(ks: DataFrame, windows: DataFrame) -> DataFrame:
+    """Per tag: % of all rolling windows flagged unstable; a window without data is not unstable."""
+    n = max(windows.count(), 1)
+    return ks.groupBy("tag").agg((F.lit(100.0) * F.sum("is_unstable") / F.lit(float(n))).alias("pct_unstable"))
 
 
 def null_run_table(long_pos: DataFrame, bucket_rows: int = W.DEFAULT_BUCKET_ROWS) -> DataFrame:
@@ -142,9 +140,9 @@ def create_qa_table(tags: DataFrame, stat_na: DataFrame, conc: DataFrame, null_r
     then dictionary ⟕ table when a dictionary is given."""
     t = QA_THRESHOLDS
     j = (tags.select("tag")
-         .join(maybe_broadcast(stat_na.select("tag", "mean", "std")), "tag", "left")
-         .join(maybe_broadcast(conc), "tag", "left")
-         .join(maybe_broadcast(null_runs), "tag", "left"))
+         .join(stat_na.select("tag", "mean", "std"), "tag", "left")
+         .join(conc, "tag", "left")
+         .join(null_runs, "tag", "left"))
     kurt = F.coalesce(F.col("kurtosis"), F.lit(0.0))
 
     def flag(pred):
@@ -192,9 +190,9 @@ def screen(stat_na: DataFrame, null_runs: DataFrame, ks_sum: DataFrame | None, c
         null_runs.where(F.col("Max_Null_Window") >= t["max_null_window"]).select(
             "tag", F.lit("_max_window_na").alias("reason")),
         conc.where(F.col("kurtosis") >= t["kurtosis"]).select("tag", F.lit("_concentrated_data_kurtosis").alias("reason")),
-        conc.where(F.col("count_unique") < t["count_unique"]).select("tag", F.lit("_concentrated_data_unique").alias("reason")),
+        conc.where(F.col("count_unique") < t["count_unique"]).select("tag", F.lit("_concentrated_data_count_unique").alias("reason")),
         conc.where(F.col("pct_n_most_common") >= t["pct_n_most_common"]).select(
-            "tag", F.lit("_concentrated_data_mode").alias("reason")),
+            "tag", F.lit("_concentrated_data_mode_freq").alias("reason")),
     ]
     if ks_sum is not None:
         parts.append(ks_sum.where(F.col("pct_unstable") >= t["ks_unstable"]).select(
@@ -204,4 +202,4 @@ def screen(stat_na: DataFrame, null_runs: DataFrame, ks_sum: DataFrame | None, c
 
 def drop_screened(long: DataFrame, removed: DataFrame) -> DataFrame:
     """QC9: drop the removed tags' rows (left anti join on ``tag``)."""
-    return long.join(maybe_broadcast(removed.select("tag").distinct()), "tag", "left_anti")
+    return long.join(removed.select("tag").distinct(), "tag", "left_anti")

@@ -84,8 +84,10 @@ mm AS (SELECT tag, min(value) AS mn, max(value) AS mx FROM ten_long GROUP BY tag
 b AS (SELECT l.tag, CAST(CASE WHEN (mx - mn) / 30.0 = 0 THEN 0
                          ELSE least(floor((value - mn) / ((mx - mn) / 30.0)), 29) END AS INTEGER) AS bin,
              mn, mx
-      FROM ten_long l JOIN mm USING (tag) WHERE value IS NOT NULL)
-SELECT tag, bin, count(*) AS count, {sql_r('min(mn)')} AS lo, {sql_r('min(mx)')} AS hi FROM b GROUP BY tag, bin
+      FROM ten_long l JOIN mm USING (tag) WHERE value IS NOT NULL),
+n AS (SELECT tag, bin, count(*) AS n FROM b GROUP BY tag, bin),
+grid AS (SELECT tag, mn, mx, CAST(unnest(range(30)) AS INTEGER) AS bin FROM mm WHERE mn IS NOT NULL)
+SELECT tag, bin, coalesce(n, 0) AS count, {sql_r('mn')} AS lo, {sql_r('mx')} AS hi FROM grid LEFT JOIN n USING (tag, bin)
 """)
 def tag_histograms(spark, sf_dir):
     """QC18: 30-bin histogram per tag (the table behind the bad-tag plots)."""
@@ -96,9 +98,9 @@ def tag_histograms(spark, sf_dir):
 def expect_multivariate(spark, sf_dir):
     """QC16 k-means smallest-cluster anomaly and QC17 isolation forest on the
     hourly sensor vectors (rows-only: model-based, not SQL-expressible)."""
-    h = FX.hourly_wide(spark, sf_dir).na.drop(subset=TAGS)
+    h = FX.hourly_wide(spark, sf_dir)
     km = X.kmeans_anomaly(h, TAGS, k=3).agg(F.count_if("anomaly").alias("n")).select(
         F.lit("kmeans").alias("detector"), "n")
-    iso = X.isolation_forest(h, TAGS, n_trees=25, sample=128, contamination=0.05).agg(
+    iso = X.isolation_forest(h, TAGS, contamination=0.05).agg(
         F.count_if("anomaly").alias("n")).select(F.lit("isolation_forest").alias("detector"), "n")
     return finish(km.unionByName(iso))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sensorloom.functions.exprs import on_off
+from sensorloom.functions.exprs import cut, on_off, row_mean, safe_div
 from sensorloom.operators import features as FE
 from sensorloom.operators import joins as J
 from sensorloom.operators.grid import grid_position
@@ -90,17 +90,17 @@ def _flot_sql() -> str:
 def features_flotation(spark, sf_dir):
     """FEA1 cell diffs, FEA2 bank diffs, FEA3 line mean, FEA4 air delta, FEA5 Fe/Cu,
     FEA6 mass pull + recoveries, FEA7 fine copper, FEA11 reagent dosing (one select)."""
-    m = _metallurgy(spark, sf_dir)
-    cols = {}
-    cols.update({"d_c2_c1": F.col("c2") - F.col("c1"), "d_c3_c2": F.col("c3") - F.col("c2"),
-                 "d_c4_c3": F.col("c4") - F.col("c3")})
+    m = FE.with_flotation_targets(_metallurgy(spark, sf_dir), "conc", "feed", ["tails", "tails2"], [0.5, 0.5], "flot")
+    m = m.withColumns({"_fe_cu": safe_div(row_mean(["c1", "c2"]), row_mean(["c3", "c4"])),
+                       "_dosing": FE.reagent_ratio("c2", ["tph"], 0.87, 0.97)})
+    cols = dict(FE.diff_cells(["c1", "c2", "c3", "c4"], "d"))
     cols.update({"bank2_bank1": FE.diff_banks(["c1", "c2", "c3", "c4"], "b")["b_bank2_bank1"]})
     cols["mean_line"] = FE.mean_by_line(["c1", "c2", "c3", "c4"], 1, 50)
     cols["delta_air"] = FE.delta_first_penultimate(["c1", "c2", "c3", "c4"])
-    cols["fe_cu"] = FE.fe_over_cu(["c1", "c2"], ["c3", "c4"])
-    cols.update(FE.flotation_targets("conc", "feed", ["tails", "tails2"], [0.5, 0.5], "flot"))
-    cols["dosing_c2"] = FE.reagent_dosing("c2", ["tph"], 0.87, 0.97, 0, 5)
-    cols["cuf"] = FE.fine_copper(["tph"], cols["flot_recup_wt"], "feed")
+    cols["fe_cu"] = cut("_fe_cu", 0, 5)
+    cols.update({c: F.col(c) for c in m.columns if c.startswith("flot_")})
+    cols["dosing_c2"] = cut("_dosing", 0, 5)
+    cols["cuf"] = FE.fine_copper(["tph"], "flot_recup_wt", "feed")
     return finish(m.select("l_orderkey", "l_linenumber", *[v.alias(k) for k, v in cols.items()]))
 
 

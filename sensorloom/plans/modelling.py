@@ -149,7 +149,7 @@ def tuned_models_per_unit(spark, sf_dir):
                   (F.lit(3.0) * F.col("l_quantity") - F.lit(40.0) * F.col("l_discount")
                    + F.lit(25.0) * F.col("l_tax")
                    + ((F.col("l_partkey") % 7) - F.lit(3)).cast("double") / F.lit(10.0)).alias("y"))
-    units = ["A", "N", "R"]
+    units = sorted(u[0] for u in r.select("l_returnflag").distinct().collect() if u[0] is not None)
     models = M.model_per_unit(r, "l_returnflag", units, FEATURES, "y", "linear", threads=3)
     out = None
     for u, m in models.items():

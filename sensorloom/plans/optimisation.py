@@ -53,7 +53,7 @@ def control_bounds(spark, sf_dir):
                                                 for c in ctl])).alias("_c")).select("ts", "_c.*")
     b = O.solver_bounds(long, td)
     cs = td.select("tag", O.parse_constraint_set("constraint_set").alias("cset"))
-    b = b.join(F.broadcast(cs), "tag", "left")
+    b = b.join(cs, "tag", "left")
     rep = F.when(F.col("cset").isNull(), F.col("value")).otherwise(O.set_repair(F.col("value"), F.col("cset")))
     return finish(b.select("ts", "tag", "value", "lo", "hi", "bad_bounds", rep.alias("repaired")))
 

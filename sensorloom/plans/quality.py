@@ -175,11 +175,33 @@ def qa_go_no_go(spark, sf_dir):
     return finish(g.withColumn("tags", F.array_join("tags", ",")))
 
 
-@register("qa_screen")
+def _screen_sql() -> str:
+    t = SCREEN
+    ks = _ks_sql().strip().replace("vc AS (", "ks_vc AS (").replace("FROM vc)", "FROM ks_vc)")
+    head, _, tail = ks.rpartition("\nSELECT tag, start1 AS start_date")
+    return f"""{head},
+ks AS (SELECT tag, start1 AS start_date{tail}),
+ks_sum AS (SELECT tag, 100.0 * sum(is_unstable) / (SELECT count(*) FROM w) AS pct FROM ks GROUP BY tag),
+{_MONTHLY_SQL}, {_CONC_SQL}, {_RUNS_SQL},
+removed AS (
+  SELECT tag, '_count_monthly_na' AS reason FROM stat_na WHERE mean >= {t["null_pct"]}
+  UNION ALL SELECT tag, '_max_window_na' FROM runs WHERE max_null_window >= {t["max_null_window"]}
+  UNION ALL SELECT tag, '_ks_stability' FROM ks_sum WHERE pct >= {t["ks_unstable"]}
+  UNION ALL SELECT tag, '_concentrated_data_kurtosis' FROM conc WHERE kurtosis >= {t["kurtosis"]}
+  UNION ALL SELECT tag, '_concentrated_data_count_unique' FROM conc WHERE count_unique < {t["count_unique"]}
+  UNION ALL SELECT tag, '_concentrated_data_mode_freq' FROM conc WHERE pct_n_most_common >= {t["pct_n_most_common"]})
+SELECT tag, reason, CAST(NULL AS BIGINT) AS rows FROM removed
+UNION ALL
+SELECT tag, 'kept', count(*) FROM ten_long WHERE tag NOT IN (SELECT tag FROM removed) GROUP BY tag
+"""
+
+
+@register("qa_screen", _screen_sql())
 def qa_screen(spark, sf_dir):
     """QC4–QC9: tags removed by each screen, with the reason (KS included)."""
     long = _long(spark, sf_dir)
-    ks = Q.ks_summary(Q.ks_stability(long, _ks_windows(spark, long)))
+    windows = _ks_windows(spark, long)
+    ks = Q.ks_summary(Q.ks_stability(long, windows), windows)
     removed = Q.screen(Q.monthly_null_pct(long), Q.null_run_table(long, BUCKET), ks,
                        Q.concentration(long), SCREEN)
     kept = Q.drop_screened(long, removed).groupBy("tag").agg(F.count(F.lit(1)).alias("rows"))
@@ -192,7 +214,7 @@ def qa_screen(spark, sf_dir):
 WITH obs AS (SELECT DISTINCT event_type AS tag FROM events),
 {_dict_cols_sql()},
 v AS (
-  SELECT 'pattern' AS rule, tag, 'no commas in tag' AS detail FROM obs WHERE tag LIKE '%,%'
+  SELECT 'pattern' AS rule, tag, 'contains a comma' AS detail FROM obs WHERE tag LIKE '%,%'
   UNION ALL
   SELECT 'known_values', tag, 'tag_type=' || tag_type FROM td
    WHERE tag_type NOT IN ('input','output','state','control','on_off','reaction')
