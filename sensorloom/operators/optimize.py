@@ -5,13 +5,10 @@ column: a closed-form Column expression, or chained ``PipelineModel.transform``
 calls (OPT1–OPT4), so scoring runs on the executors with the models shipped
 inside the plan.
 
-The differential-evolution search (OPT9) is batched: one table
-``(run_id, cand, x_1…x_d, fit)`` holds every run's population; a generation
-draws partners by seeded hashes, fetches them with equi joins on
-``(run_id, cand)``, scores all trials in one ``transform``, keeps the better
-of parent and trial, and checkpoints the table (lineage cut in the cluster's
-checkpoint folder).  The stop rule (OPT10) reads one small aggregate per
-generation.
+The differential-evolution search (OPT9, :func:`search_controls`) keeps a run's
+whole population as one array in one row; trials are made inside the row with
+seeded hashes, exploded only to be scored, and a run whose best has settled is
+frozen (OPT10).  Bounds, repairs and free controls are each run's own (OPT6–OPT8).
 """
 
 from __future__ import annotations
@@ -21,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.functions.exprs import clip
+from sensorloom.session import written
 
 Objective = Callable[[DataFrame], DataFrame]
 
@@ -152,84 +149,127 @@ def _u(*parts: Column) -> Column:
     return (F.pmod(h, F.lit(1 << 30)).cast("double")) / F.lit(float(1 << 30))
 
 
-def differential_evolution(states: DataFrame, controls: Sequence[str], bounds: Mapping[str, tuple],
-                           objective: Objective, run_col: str = "run_id", pop: int = 15,
-                           max_gen: int = 150, patience: int = 5, tol: float = 0.1,
-                           mutation: float = 0.7, crossover: float = 0.7, seed: int = 0,
-                           sense: str = "maximize") -> DataFrame:
-    """OPT9 + OPT10: best control vector per run (batched DE/rand/1/bin).
+def _control_space(runs: DataFrame, td: DataFrame, closure: DataFrame, controls: Sequence[str]) -> dict[str, dict[str, Column]]:
+    """Per control the columns ``free, lo, hi, allowed`` of a run (OPT6–OPT8); the dictionary is metadata and read once."""
+    limits = {r.tag: r for r in td.where(F.col("tag").isin(list(controls))).select(
+        "tag", "op_min", "op_max", "max_delta", parse_constraint_set("constraint_set").alias("allowed")).collect()}
+    deps = closure.where(F.col("tag").isin(list(controls))).collect()
+    out = {}
+    for c in controls:
+        r = limits.get(c)
+        if r is None or r.op_min is None or r.op_max is None:
+            raise ValueError(f"control {c!r} needs an operating range")
+        x = F.col(c)
+        free = x.isNotNull()
+        for d in sorted({q.dependency for q in deps if q.tag == c}):
+            if d not in runs.columns:
+                raise ValueError(f"control {c!r} depends on {d!r}, which the runs do not have")
+            free = free & F.coalesce(F.col(d) > 0.5, F.lit(False))
+        lo, hi = F.lit(float(r.op_min)), F.lit(float(r.op_max))
+        inside = F.least(F.greatest(x, lo), hi)
+        if r.max_delta is not None:  # a value too far outside its range can only go to the nearest end
+            near_lo, near_hi = F.greatest(lo, x - r.max_delta), F.least(hi, x + r.max_delta)
+            bad = near_lo > near_hi
+            lo, hi = F.when(bad, inside).otherwise(near_lo), F.when(bad, inside).otherwise(near_hi)
+        allowed = F.array(*[F.lit(float(v)) for v in r.allowed or []]).cast("array<double>")
+        out[c] = {"free": free, "lo": lo, "hi": hi, "allowed": allowed}
+    return out
+
+
+def search_controls(runs: DataFrame, td: DataFrame, closure: DataFrame, controls: Sequence[str], objective: Objective,
+                    run_col: str = "run_id", pop: int = 15, max_gen: int = 150, patience: int = 5, tol: float = 0.1,
+                    mutation: float = 0.7, crossover: float = 0.7, seed: int = 0, sense: str = "maximize") -> DataFrame:
+    """OPT9 + OPT10: the best controls of every run by differential evolution (rand/1/bin).
+
+    Bounds are those of the run (OPT7), values go to the nearest one of a
+    constraint set within them (OPT8), and a control that is missing or off stays
+    as it is (OPT6).  A run's population is one array in one row; a generation
+    makes its trials there, explodes them only to be scored, and gathers them
+    again: one shuffle.  A run whose best gained less than ``tol`` for
+    ``patience`` generations is frozen; the search ends when all are, or after
+    ``max_gen``.  Every generation is written to the shared folder.
 
-    ``states`` has one row per run (state columns + current controls).  The
-    search stops when the best objective of every run improved by less than
-    ``tol`` for ``patience`` generations, or after ``max_gen``.  ``sense``
-    is explicit (D17).  Returns the state row with the chosen controls and
-    ``objective``.
+    Returns ``runs`` with ``free_<c>, lo_<c>, hi_<c>, new_<c>`` per control,
+    ``objective_current`` and ``objective``; without a score all stays as it is.
     """
-    sign = 1.0 if sense == "maximize" else -1.0
-    state_cols = [c for c in states.columns if c not in controls]
-    p = states.select(*state_cols, F.explode(F.sequence(F.lit(0).cast("long"),
-                                                        F.lit(pop - 1).cast("long"))).alias("cand"))
-    init = [(F.lit(bounds[c][0]) + _u(F.col(run_col), F.lit(seed), F.col("cand"), F.lit(i))
-             * F.lit(bounds[c][1] - bounds[c][0])).alias(c) for i, c in enumerate(controls)]
-    p = p.select(*state_cols, "cand", *init)
-    p = objective(p).withColumn("fit", F.lit(sign) * F.col("objective")).drop("objective")
-    p = p.checkpoint()
-    best_prev, stall = None, 0
+    sign = F.lit(1.0 if sense == "maximize" else -1.0)
+    space = _control_space(runs, td, closure, controls)
+    base = runs.withColumns({f"{k}_{c}": space[c][k] for c in controls for k in ("free", "lo", "hi")})
+    base = written(objective(base).withColumnRenamed("objective", "objective_current"), "runs")
+    run = F.col(run_col)
+
+    def settle(c: str, v: Column) -> Column:
+        v = F.least(F.greatest(v, F.col(f"lo_{c}")), F.col(f"hi_{c}"))
+        within = F.filter(space[c]["allowed"], lambda s: (s >= F.col(f"lo_{c}")) & (s <= F.col(f"hi_{c}")))
+        sets = F.when(F.size(within) > 0, within).otherwise(space[c]["allowed"])
+        return F.when(F.col(f"free_{c}"), set_repair(v, sets)).otherwise(F.col(c)).cast("double")
+
+    def scored(rows: DataFrame) -> DataFrame:
+        """``run, trials`` with the fitness of each, from rows of ``base`` with an array ``trials`` of controls."""
+        keep = [x for x in runs.columns if x not in controls and x != "trials"]
+        one = rows.select(*keep, F.posexplode("trials").alias("_i", "_t"))
+        one = objective(one.select(*keep, "_i", *[F.col(f"_t.{c}").alias(c) for c in controls]))
+        cell = F.struct("_i", *controls, (sign * F.col("objective")).alias("fit"))
+        return one.groupBy(run_col).agg(F.transform(F.array_sort(F.collect_list(cell)), lambda t: F.struct(
+            *[t[c].alias(c) for c in controls], t["fit"].alias("fit"))).alias("scored"))
+
+    seats = F.sequence(F.lit(0), F.lit(pop - 1))
+    # seat 0 is the run as it is
+    first = F.transform(seats, lambda k: F.struct(*[settle(c, F.when(k == 0, F.col(c)).otherwise(
+        F.col(f"lo_{c}") + _u(run, F.lit(seed), k, F.lit(i)) * (F.col(f"hi_{c}") - F.col(f"lo_{c}")))).alias(c)
+        for i, c in enumerate(controls)]))
+    best = F.aggregate("pop", F.lit(None).cast("double"), lambda m, t: F.greatest(m, t["fit"]))
+    now = scored(base.withColumn("trials", first)).withColumnRenamed("scored", "pop")
+    now = written(now.select(run_col, "pop", best.alias("best"), F.lit(0).alias("stall")), "generation")
     for gen in range(1, max_gen + 1):
+        active = now.where(F.col("stall") < patience)
+        if active.isEmpty():
+            break
         g = F.lit(gen)
-        pick = []
-        for j in range(3):
-            pick.append(F.pmod(F.col("cand") + 1 + F.floor(_u(F.col(run_col), g, F.col("cand"), F.lit(100 + j))
-                                                           * F.lit(pop - 1)).cast("long"), F.lit(pop)))
-        t = p.select("*", *[pick[j].alias(f"_r{j}") for j in range(3)])
-        for j in range(3):
-            part = p.select(F.col(run_col), F.col("cand").alias(f"_r{j}"),
-                            *[F.col(c).alias(f"_r{j}_{c}") for c in controls])
-            t = t.join(part, [run_col, f"_r{j}"], "left")
-        jrand = F.floor(_u(F.col(run_col), g, F.col("cand"), F.lit(7)) * F.lit(len(controls)))
-        trial = []
-        for i, c in enumerate(controls):
-            mutant = F.col(f"_r0_{c}") + F.lit(mutation) * (F.col(f"_r1_{c}") - F.col(f"_r2_{c}"))
-            take = (_u(F.col(run_col), g, F.col("cand"), F.lit(1000 + i)) < F.lit(crossover)) | (jrand == i)
-            trial.append(clip(F.when(take, mutant).otherwise(F.col(c)), *bounds[c]).alias(f"_t_{c}"))
-        t = t.select(*state_cols, "cand", *controls, "fit", *trial)
-        scored = objective(t.select(*state_cols, "cand", *[F.col(f"_t_{c}").alias(c) for c in controls])) \
-            .select(run_col, "cand", F.col("objective").alias("_tfit"))
-        t = t.join(scored, [run_col, "cand"]).withColumn("_tfit", F.lit(sign) * F.col("_tfit"))
-        better = F.col("_tfit") >= F.col("fit")
-        p = t.select(*state_cols, "cand",
-                     *[F.when(better, F.col(f"_t_{c}")).otherwise(F.col(c)).alias(c) for c in controls],
-                     F.when(better, F.col("_tfit")).otherwise(F.col("fit")).alias("fit")).checkpoint()
-        cur = p.groupBy(run_col).agg(F.max("fit").alias("_best"))
-        if best_prev is not None:
-            gain = cur.join(best_prev, run_col).agg(
-                F.max(F.col("_best") - F.col("_prev")).alias("g")).first()["g"]
-            stall = stall + 1 if (gain is None or gain < tol) else 0
-            if stall >= patience:
-                break
-        best_prev = cur.withColumnRenamed("_best", "_prev").checkpoint()
-    win = p.groupBy(run_col).agg(F.max_by(F.struct(*controls, "fit"), F.col("fit")).alias("_b"))
-    out = states.select(*state_cols).join(win, run_col)
-    return out.select(*state_cols, *[F.col(f"_b.{c}").alias(c) for c in controls],
-                      (F.lit(sign) * F.col("_b.fit")).alias("objective"))
+
+        def trial(k: Column) -> Column:
+            others = F.array_sort(F.transform(F.filter(seats, lambda j: j != k), lambda j: F.struct(
+                F.xxhash64(run, F.lit(seed), g, k, j).alias("h"), j.alias("j"))))
+            a, b, c3 = (F.element_at("pop", others[n]["j"] + 1) for n in range(3))
+            own = F.element_at("pop", k + 1)
+            sure = F.floor(_u(run, F.lit(seed), g, k, F.lit(-1)) * len(controls))
+            return F.struct(*[settle(c, F.when(
+                (sure == i) | (_u(run, F.lit(seed), g, k, F.lit(i)) < crossover),
+                a[c] + mutation * (b[c] - c3[c])).otherwise(own[c])).alias(c) for i, c in enumerate(controls)])
+
+        rows = base.join(active, run_col).withColumn("trials", F.transform(seats, trial))
+        better = F.zip_with("pop", "scored", lambda old, new: F.when(
+            F.coalesce(new["fit"] >= old["fit"], new["fit"].isNotNull()), new).otherwise(old))
+        new = active.join(scored(rows), run_col).withColumn("pop", better)
+        gained = F.coalesce(best - F.col("best") >= tol, best.isNotNull() & F.col("best").isNull())
+        new = new.select(run_col, "pop", best.alias("best"), F.when(gained, 0).otherwise(F.col("stall") + 1).alias("stall"))
+        now = written(new.unionByName(now.where(F.col("stall") >= patience)), "generation")
+    top = F.array_max(F.transform(F.filter("pop", lambda t: t["fit"].isNotNull()), lambda t: F.struct(
+        t["fit"].alias("fit"), *[t[c].alias(c) for c in controls])))
+    won = now.select(run_col, top.alias("_w"))
+    return base.join(won, run_col).select(*base.columns, *[F.when(F.col("_w").isNull(), F.col(c)).otherwise(F.col(f"_w.{c}")).alias(f"new_{c}") for c in controls],
+                                          (sign * F.col("_w.fit")).alias("objective"))
 
 
 # ------------------------------------------------------------------ result tables
-def recommendation_records(current: DataFrame, best: DataFrame, controls: Sequence[str],
-                           states: Sequence[str], run_col: str = "run_id") -> DataFrame:
-    """OPT11: nested record per run — ``state`` map, ``controls`` map of
+def recommendation_records(found: DataFrame, controls: Sequence[str], states: Sequence[str], run_col: str = "run_id") -> DataFrame:
+    """OPT11: nested record per run of :func:`search_controls` — ``state`` map, ``controls`` map of
     ``struct(current, suggested, delta)``, objective — ready for ``write.json`` (SNK2)."""
-    cur = current.select(run_col, "ts", *[F.col(c).alias(f"_cur_{c}") for c in controls],
-                         "objective_current")
-    j = best.join(cur, [run_col, "ts"])
+    # fixed values: names of the record's fields
     ctl = F.map_from_arrays(
         F.array(*[F.lit(c) for c in controls]),
-        F.array(*[F.struct(F.col(f"_cur_{c}").alias("current"), F.col(c).alias("suggested"),
-                           (F.col(c) - F.col(f"_cur_{c}")).alias("delta")) for c in controls]))
+        F.array(*[F.struct(F.col(c).alias("current"), F.col(f"new_{c}").alias("suggested"),
+                           (F.col(f"new_{c}") - F.col(c)).alias("delta")) for c in controls]))
     st = F.map_from_arrays(F.array(*[F.lit(s) for s in states]),
                            F.array(*[F.col(s).cast("double") for s in states]))
-    return j.select(run_col, "ts", st.alias("state"), ctl.alias("controls"),
-                    F.col("objective_current"), F.col("objective").alias("objective_suggested"))
+    return found.select(run_col, "ts", st.alias("state"), ctl.alias("controls"),
+                        F.col("objective_current"), F.col("objective").alias("objective_suggested"))
+
+
+def controls_sheet(rows: DataFrame, stamps: Sequence, value: str = "suggested") -> DataFrame:
+    """OPT13: one row per control, one column per listed run time."""
+    cell = [F.max(F.when(F.col("ts") == F.lit(t).cast("timestamp_ntz"), F.col(value))).alias(str(t)) for t in stamps]
+    return rows.groupBy("tag_id").agg(*cell)
 
 
 def control_rows(records: DataFrame, run_col: str = "run_id") -> DataFrame:

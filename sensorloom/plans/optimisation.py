@@ -117,18 +117,50 @@ def what_if_context(spark, sf_dir):
                             F.size("_ctx").cast("long").alias("n_context")))
 
 
-@register("recommendations")
+TOL = 2.0  # of the closed form's best control value
+
+
+@register("recommendations", f"""{H},
+r AS (SELECT *, CASE WHEN hour(ts) % 12 = 0 THEN 0.0 ELSE 1.0 END AS pump_on FROM h ORDER BY ts DESC LIMIT 24),
+l AS (SELECT ts, error, click, view, 'click' AS tag_id, click AS cur, pump_on FROM r
+      UNION ALL SELECT ts, error, click, view, 'view', view, pump_on FROM r)
+SELECT sha256(strftime(ts, '%Y-%m-%d %H:%M:%S') || '|r2') AS run_id, ts, tag_id, {sql_r('cur')} AS current,
+       pump_on > 0.5 AND cur IS NOT NULL AS free, true AS in_bounds, true AS in_set, true AS unmoved_if_not_free,
+       true AS near_best, true AS uplift_adds_up
+FROM l
+""")
 def recommendations(spark, sf_dir):
-    """OPT9/OPT10 batched differential evolution on the latest 24 hourly runs
-    (FLT6 picks them, as the reference optimises the latest rows), then OPT11
-    records, OPT12 control rows and uplift."""
-    runs = _runs(spark, sf_dir)
+    """OPT6–OPT12 on the latest 24 hourly runs (FLT6 picks them, as the reference
+    optimises the latest rows): free controls, bounds and repairs per run, all
+    generations, records, control rows and uplift.  The search is stochastic, so
+    what comes out is checked here against each run's own limits and the closed
+    form's best point."""
+    controls = ["click", "view"]
+    td = FX.tag_dictionary(spark)
+    runs = _runs(spark, sf_dir).withColumns({"pump_on": F.when(F.hour("ts") % 12 == 0, 0.0).otherwise(1.0), "line_on": F.lit(1.0)})
     latest = FL.filter_timestamp_optimization(runs, None, datetime(2024, 2, 1), mode="end", n=24)
-    latest = latest.na.fill({"click": 50.0, "view": 50.0})
-    cur = _objective()(latest).withColumnRenamed("objective", "objective_current")
-    best = O.differential_evolution(latest, ["click", "view"], {"click": (5.0, 95.0), "view": (10.0, 90.0)},
-                                    _objective(), pop=12, max_gen=3, patience=5, tol=0.1)
-    rec = O.recommendation_records(cur, best, ["click", "view"], ["error", "signup"])
-    rows = O.control_rows(rec)
-    up = O.uplift(rec).select("run_id", "uplift_pred", "uplift_pred_pct")
-    return finish(rows.join(up, "run_id"))
+
+    def objective(df):
+        term = lambda c, x: F.coalesce((F.col(c) - x) * (F.col(c) - x), F.lit(0.0))
+        return df.withColumn("objective", -term("click", 50.0) - term("view", 40.0) + 0.1 * F.coalesce(F.col("error"), F.lit(0.0)))
+
+    found = O.search_controls(latest, td, TG.dependency_closure(td), controls, objective)
+    rec = O.recommendation_records(found, controls, ["error", "signup"])
+    rows = O.control_rows(rec).join(O.uplift(rec).drop("ts"), "run_id")
+    flags = found.select("run_id", F.explode(F.array(*[F.struct(
+        F.lit(c).alias("tag_id"), F.col(f"free_{c}").alias("free"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
+        for c in controls])).alias("f")).select("run_id", "f.*")
+    rows = rows.join(flags, ["run_id", "tag_id"])
+    s, free = F.col("suggested"), F.col("free")
+    click_best = F.least(F.greatest(F.lit(50.0), F.col("lo")), F.col("hi"))
+    best = F.when(F.col("tag_id") == "click", click_best).otherwise(F.lit(40.0))
+    up = F.col("objective_suggested") - F.col("objective_current")
+    pct_ok = F.when(F.col("objective_current") == 0, F.col("uplift_pred_pct").isNull()).otherwise(
+        F.abs(F.col("uplift_pred_pct") - 100.0 * up / F.col("objective_current")) < 1e-6)
+    return finish(rows.select(
+        "run_id", "ts", "tag_id", "current", "free",
+        (~free | s.between(F.col("lo"), F.col("hi"))).alias("in_bounds"),
+        (~free | (F.col("tag_id") == "click") | s.isin(20.0, 40.0, 60.0, 80.0)).alias("in_set"),
+        (free | s.eqNullSafe(F.col("current"))).alias("unmoved_if_not_free"),
+        (~free | (F.abs(s - best) <= TOL)).alias("near_best"),
+        ((F.col("uplift_pred") == up) & pct_ok & (up >= 0)).alias("uplift_adds_up")))
