@@ -9,7 +9,7 @@ def load_all() -> None:
     """Import every query module so its ``@register`` calls run."""
     from sensorloom.plans import timeseries  # noqa: F401
     for mod in ("cleaning", "windows", "quality", "features", "modelling", "expectations",
-                "clustering", "optimisation", "io_queries"):
+                "clustering", "optimisation", "io_queries", "reports"):
         try:
             __import__(f"sensorloom.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet
