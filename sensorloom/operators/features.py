@@ -182,31 +182,89 @@ def thickener_features(long: DataFrame, keys: Sequence[str], pos_col: str, signa
     Input is wide per unit: ``(keys…, pos, signal columns…)`` on a complete
     grid.  Adds for every signal: deltas to ``k`` rows ago, full-window rolling
     means, an EWM of the previous row, and the rolling mean shifted by the
-    dead time.  All window columns share one spec → one shuffle and one sort
-    per halo pass.
+    dead time.  Two passes for any number of signals: one carry scan for the
+    EWMs (an EWM of a lag is the lag of the EWM), then one halo pass.
     """
-    back = max([*deltas, max(roll) - 1 + dead_time, 1])
+    n = max(roll)
+    back = max([*deltas, n - 1 + dead_time, 1])
+    d = W.ewm_means(long, keys, pos_col, [(s, ewm_halflife, f"_e_{s}") for s in signals], bucket_rows)
 
     def build(w):
         out = {}
         for s in signals:
             for k in deltas:
                 out[f"{s}_delta_{k}"] = W.diff_expr(s, k, w)
-            for n in roll:
-                out[f"{s}_roll_{n}"] = W.rolling_full_mean(s, n, w)
+            for m in roll:
+                out[f"{s}_roll_{m}"] = W.rolling_full_mean(s, m, w)
             out[f"{s}_lag1"] = F.lag(s, 1).over(w)
+            out[f"{s}_roll_{n}_dead_{dead_time}"] = W.rolling_full_mean(s, n, w, dead_time)
+            out[f"{s}_ewm"] = F.lag(f"_e_{s}", 1).over(w)
         return out
-    d = W.positional(long, keys, pos_col, build, back=back, bucket_rows=bucket_rows)
-    n = max(roll)
-    d = W.positional(d, keys, pos_col,
-                     lambda w: {f"{s}_roll_{n}_dead_{dead_time}": F.lag(f"{s}_roll_{n}", dead_time).over(w)
-                                for s in signals},
-                     back=dead_time, bucket_rows=bucket_rows)
-    for s in signals:
-        d = W.ewm_mean(d, keys, pos_col, f"{s}_lag1", ewm_halflife, f"{s}_ewm", bucket_rows)
+    d = W.positional(d, keys, pos_col, build, back=back, bucket_rows=max(bucket_rows, back))
+    return d.drop(*[f"_e_{s}" for s in signals])
+
+
+def thickener_unit_features(df: DataFrame, keys: Sequence[str], pos_col: str, roles: Mapping[str, Sequence[str]], hour: int = 6,
+                            unit_col: str = "unit", absent: Mapping[str, Sequence[str]] | None = None,
+                            bucket_rows: int = W.DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """FEA18 in full, on rows of ``60 / hour`` minutes, for all units at once.
+
+    ``roles`` names the columns: ``torque`` (mean is the target), ``flocculant``,
+    ``density`` (pair), ``valves`` (four; lines are first and last, and the
+    middle two), ``long`` (six-hour means), ``short`` (two-hour means), ``cone``.
+    ``absent`` lists outputs that a unit does not have; they are NULL there.
+    """
+    floc, = roles["flocculant"]
+    cone, = roles["cone"]
+    v = list(roles["valves"])
+    d = df.withColumns({"target_torque": row_mean(roles["torque"]), "density_mean": row_mean(roles["density"]),
+                        "valves_mean": row_mean(v), "valves_l1": row_mean([v[0], v[3]]), "valves_l2": row_mean([v[1], v[2]])})
+    d = W.ewm_means(d, keys, pos_col, [(floc, 2.0 * hour, "_floc"), ("density_mean", 1.0 * hour, "_dens")], bucket_rows)
+    steps = {"1": 1, "1h": hour, "2h": 2 * hour, "4h": 4 * hour, "8h": 8 * hour}
+
+    def build(w):
+        out = {f"delta_torque_{n}": W.diff_expr("target_torque", k, w) for n, k in steps.items()}
+        out["dosing"] = F.lag("_floc", 8 * hour).over(w)
+        out["density_smooth"] = F.lag("_dens", 3 * hour).over(w)
+        out |= {f"{c}_6h": W.rolling_full_mean(c, 6 * hour, w) for c in roles["long"]}
+        out |= {f"{c}_2h": W.rolling_full_mean(c, 2 * hour, w) for c in roles["short"]}
+        out["cone_smooth"] = W.rolling_full_mean(cone, 6, w)
+        out["delta_cone"] = F.lag(cone, 1).over(w) - F.lag(cone, 2).over(w)
+        return out
+    reach = max(8 * hour, 6 * hour)
+    d = W.positional(d, keys, pos_col, build, back=reach, bucket_rows=max(bucket_rows, reach)).drop("_floc", "_dens")
+    for unit, names in (absent or {}).items():
+        d = d.withColumns({n: F.when(F.col(unit_col) != unit, F.col(n)) for n in names})
     return d
 
 
+def plant_chains(df: DataFrame, keys: Sequence[str], pos_col: str, inflows: Sequence[str], outflow: str, sag: Sequence[str],
+                 conventional: Sequence[str], solids: Sequence[str], water: Sequence[str], ph: str, hour: int = 6,
+                 bucket_rows: int = W.DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """FEA19 and FEA20: fresh water with its five hours of dead time, throughput and solids chains with eight,
+    water per tonne and smoothed pH.
+
+    Row sums skip NULLs, except that the two SAG lines must both be there."""
+    dead, two = 8 * hour, 2 * hour
+    clean = {f"_s_{c}": cut(c, 0, 95) for c in solids}
+    d = df.withColumns({"_fresh": (row_sum(inflows) - F.coalesce(F.col(outflow), F.lit(0.0))) * 3.6,
+                        "_sag": sum((F.col(c) for c in sag[1:]), F.col(sag[0])), "_conv": row_sum(conventional), "_water": row_sum(water), **clean})
+    d = d.withColumns({"_all": F.col("_sag") + F.col("_conv"), "_solid": row_mean(list(clean))})
+    d = W.ewm_means(d, keys, pos_col, [(ph, 1.0 * hour, "_ph")], bucket_rows)
+
+    def build(w):
+        return {"fresh_water": F.lag("_fresh", 5 * hour).over(w), "throughput_sag": F.lag("_sag", dead).over(w),
+                "throughput_conventional": F.lag("_conv", dead).over(w), "throughput_total": W.rolling_full_mean("_all", two, w, dead),
+                "solids": W.rolling_full_mean("_solid", two, w, dead), "ph_smooth": F.lag("_ph", 1).over(w),
+                **{f"{c}_smooth": W.rolling_full_mean(c, two, w, dead) for c in sag}}
+    reach = dead + two
+    B = max(bucket_rows, reach)
+    d = W.positional(d, keys, pos_col, build, back=reach, bucket_rows=B)
+    d = d.withColumn("_cea", safe_div("_water", "throughput_total"))
+    d = W.positional(d, keys, pos_col, lambda w: {"water_per_tonne": W.rolling_full_mean("_cea", two, w)}, back=two, bucket_rows=B)
+    return d.drop("_fresh", "_sag", "_conv", "_water", "_all", "_solid", "_ph", "_cea", *clean)
+
+
 def objective_column(torque: Sequence[str], density: Sequence[Sequence[str]]) -> Column:
     """FEA21: mean torque − mean over units of each unit's mean density."""
     unit_means = [row_mean(d) for d in density]

@@ -114,9 +114,9 @@ def diff_expr(c: str, n: int, w: WindowSpec) -> Column:
     return F.col(c) - F.lag(c, n).over(w)
 
 
-def rolling_full_mean(c: str, n: int, w: WindowSpec) -> Column:
-    """WIN3: mean of the last ``n`` rows; NULL unless all ``n`` are present."""
-    fr = w.rowsBetween(-(n - 1), 0)
+def rolling_full_mean(c: str, n: int, w: WindowSpec, dead: int = 0) -> Column:
+    """WIN3: mean of the last ``n`` rows, ``dead`` rows ago (WIN7); NULL unless all ``n`` are present."""
+    fr = w.rowsBetween(-(n - 1) - dead, -dead)
     return F.when(F.count(c).over(fr) == n, F.avg(c).over(fr))
 
 
@@ -256,32 +256,54 @@ def remove_long_null_runs(df: DataFrame, keys: Sequence[str], pos_col: str, valu
 # exponentially weighted mean (WIN5)
 # --------------------------------------------------------------------------
 
+def ewm_means(df: DataFrame, keys: Sequence[str], pos_col: str, specs: Sequence[tuple[str, float, str]],
+              bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """WIN5: pandas ``ewm(halflife=h, adjust=True).mean()`` with NULLs keeping position, for all
+    ``(value column, halflife, output column)`` of ``specs`` in one carry scan.
+
+    With ``d = 0.5 ** (1 / h)``, at row ``p``: ``Σ x_j d^(p-j) / Σ d^(p-j)`` over the
+    non-NULL rows ``j <= p``; a NULL row repeats the last mean, since both sums
+    only shrink by the same factor.  Inside a bucket both sums run on; a
+    summary row per bucket holds them as of its end, and those of earlier buckets
+    are added with the weight their distance leaves — as many buckets back as a
+    double can tell from zero, so no old value is cut off, however large."""
+    half = [float(h) for _, h, _ in specs]
+    B = max(1, min(int(bucket_rows), int(900 * min(half))))  # keeps d^(-r) finite
+    b = _bucket(pos_col, B)
+    d = df.withColumn("_b", b)
+    r = (F.col(pos_col) - F.col("_b") * F.lit(B)).cast("double")
+    w = Window.partitionBy(*keys, "_b").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, 0)
+    sums, ends = {}, []
+    for i, (c, h, _) in enumerate(specs):
+        decay = F.lit(0.5 ** (1.0 / float(h)))
+        x, up = F.col(c).cast("double"), F.pow(decay, -r)
+        there = x.isNotNull()
+        sums |= {f"_n{i}": F.sum(F.when(there, x * up)).over(w), f"_d{i}": F.sum(F.when(there, up)).over(w)}
+        to_end = F.pow(decay, F.lit(B - 1.0) - r)
+        ends += [F.sum(F.when(there, x * to_end)).alias(f"_en{i}"), F.sum(F.when(there, to_end)).alias(f"_ed{i}")]
+    summary = d.groupBy(*keys, "_b").agg(*ends)
+    back = max(int(math.ceil(1100.0 * h / B)) + 1 for h in half)
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(-back, -1)
+    cells = F.collect_list(F.struct("_b", *[f"_e{k}{i}" for i in range(len(specs)) for k in "nd"])).over(before)
+    carry = summary.select(*keys, "_b", cells.alias("_cells"))
+
+    def carried(i: int, k: str, h: float):
+        decay = F.lit(0.5 ** (1.0 / float(h)))
+        return F.aggregate("_cells", F.lit(0.0), lambda t, e: t + F.coalesce(e[f"_e{k}{i}"], F.lit(0.0)) * F.pow(
+            decay, (F.col("_b") - 1 - e["_b"]).cast("double") * F.lit(float(B))))
+    carry = carry.select(*keys, "_b", *[carried(i, k, h).alias(f"_c{k}{i}") for i, (_, h, _) in enumerate(specs) for k in "nd"])
+    out = d.withColumns(sums).join(carry, [*keys, "_b"])
+    final = {}
+    for i, (_, h, name) in enumerate(specs):
+        decay = F.lit(0.5 ** (1.0 / float(h)))
+        num = F.coalesce(F.col(f"_n{i}"), F.lit(0.0)) + F.col(f"_cn{i}") * decay
+        den = F.coalesce(F.col(f"_d{i}"), F.lit(0.0)) + F.col(f"_cd{i}") * decay
+        final[name] = F.when(den > 0, num / den)
+    names = set(final)
+    return out.select(*[c for c in df.columns if c not in names], *[v.alias(k) for k, v in final.items()])
+
+
 def ewm_mean(df: DataFrame, keys: Sequence[str], pos_col: str, value_col: str,
              halflife: float, out_col: str, bucket_rows: int | None = None) -> DataFrame:
-    """WIN5: pandas ``ewm(halflife=h, adjust=True).mean()`` with NULLs keeping position.
-
-    With ``d = 0.5 ** (1 / h)``, at a non-NULL row ``p``:
-    ``Σ x_j d^(p-j) / Σ d^(p-j)`` over earlier non-NULL rows ``j``.  Weights
-    below ``2^-64`` of the current row's weight cannot change a double, so
-    the sum runs over the halo bucket holding ``64·h`` earlier rows, as
-    running sums of ``x_j d^(-r_j)`` (``r`` = row index inside the bucket;
-    the bucket size keeps ``d^(-r)`` finite).  A NULL row repeats the mean
-    at the last non-NULL row (pandas keeps its running mean), which is a
-    forward fill carried across buckets.
-    """
-    d = 0.5 ** (1.0 / float(halflife))
-    reach = int(math.ceil(64 * halflife))
-    B = bucket_rows or max(reach, min(DEFAULT_BUCKET_ROWS, int(800 * halflife) - reach))
-    B = max(B, reach)
-    h = halo(df, pos_col, reach, 0, B)
-    base = F.col("_b") * F.lit(B) - F.lit(reach)
-    r = (F.col(pos_col) - base).cast("double")
-    x = F.col(value_col)
-    w = (Window.partitionBy(*keys, "_b").orderBy(pos_col)
-         .rowsBetween(Window.unboundedPreceding, 0))
-    num = F.sum(F.when(x.isNotNull(), x * F.pow(F.lit(d), -r))).over(w)
-    den = F.sum(F.when(x.isNotNull(), F.pow(F.lit(d), -r))).over(w)
-    val = F.when(x.isNotNull(), num / den)
-    out = h.select("*", val.alias("_ewm")).where("_own").drop("_b", "_own")
-    filled = ffill(out, keys, pos_col, ["_ewm"], B)
-    return filled.withColumnRenamed("_ewm", out_col)
+    """WIN5 for one column, see :func:`ewm_means`."""
+    return ewm_means(df, keys, pos_col, [(value_col, halflife, out_col)], bucket_rows or DEFAULT_BUCKET_ROWS)

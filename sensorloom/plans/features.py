@@ -238,6 +238,98 @@ def features_thickener(spark, sf_dir):
     return finish(d.select(*keep))
 
 
+# ------------------------------------------------------------------ thickeners in full, 10-minute rows
+ROLES = {"torque": ["click", "view"], "flocculant": ["error"], "density": ["purchase", "signup"],
+         "valves": ["click", "error", "purchase", "signup"], "long": ["view", "signup"], "short": ["error", "purchase"], "cone": ["click"]}
+# unit 5 has no turbidity (error_2h), unit 0 no interface level (view_6h); only unit 7 has a cone
+ABSENT = {0: ["view_6h"], 5: ["error_2h"], **{u: ["cone_smooth", "delta_cone"] for u in (1, 2, 3, 4, 6)}}
+ALL_TAGS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _asset_ten_minutes(spark, sf_dir):
+    """Per-asset 10-minute panel on the complete grid, gaps filled forward (CLN9): ``(asset, pos, tags…)``."""
+    from sensorloom.functions.exprs import bin_left, epoch_us
+    from sensorloom.operators import windows as W
+    from sensorloom.operators.reshape import pivot_tags
+    ev = FX.long_sensors(spark, sf_dir).select("asset", "tag", "value", bin_left("ts", 600).alias("ts"))
+    wide = pivot_tags(ev, ["asset", "ts"], ALL_TAGS)
+    b = ev.agg(F.min(epoch_us("ts")).alias("lo"), F.max(epoch_us("ts")).alias("hi")).first()
+    wide = wide.withColumn("pos", grid_position("ts", b["lo"], 600)).drop("ts")
+    panel = ev.select("asset").distinct().select("asset", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit((b["hi"] - b["lo"]) // 600_000_000).cast("long"))).alias("pos"))
+    return W.ffill(panel.join(wide, ["asset", "pos"], "left"), ["asset"], "pos", ALL_TAGS, BUCKET)
+
+
+def _panel_sql() -> str:
+    fill = ", ".join(f"last_value({t} IGNORE NULLS) OVER (PARTITION BY asset ORDER BY pos ROWS UNBOUNDED PRECEDING) AS {t}" for t in ALL_TAGS)
+    return f"""ev AS (SELECT (user_id % 8)::INTEGER AS asset, {sql_bin_left("ts", 600)} AS ts, event_type, value FROM events),
+lo AS (SELECT min(ts) AS lo, max(ts) AS hi FROM ev),
+h AS (SELECT asset, CAST((epoch_us(ts) - (SELECT epoch_us(lo) FROM lo)) / 600000000 AS BIGINT) AS pos,
+      {", ".join(f"avg(value) FILTER (WHERE event_type = '{t}') AS {t}" for t in ALL_TAGS)} FROM ev GROUP BY 1, 2),
+panel AS (SELECT a.asset, p.pos FROM (SELECT DISTINCT asset FROM ev) a,
+          (SELECT range AS pos FROM range(0, (SELECT CAST((epoch_us(hi) - epoch_us(lo)) / 600000000 AS BIGINT) + 1 FROM lo))) p),
+g AS (SELECT asset, pos, {fill} FROM panel LEFT JOIN h USING (asset, pos))"""
+
+
+def _w_roll(c: str, n: int, dead: int = 0) -> str:
+    fr = f"(PARTITION BY asset ORDER BY pos ROWS BETWEEN {n - 1 + dead} PRECEDING AND {dead} PRECEDING)".replace("AND 0 PRECEDING", "AND CURRENT ROW")
+    return f"CASE WHEN count({c}) OVER {fr} = {n} THEN avg({c}) OVER {fr} END"
+
+
+def _w_ewm(c: str, half: float) -> str:
+    d = 0.5 ** (1.0 / half)
+    w = "(PARTITION BY asset ORDER BY pos)"
+    return (f"sum(CASE WHEN {c} IS NOT NULL THEN {c} * pow({d!r}, -pos) END) OVER {w} / "
+            f"nullif(sum(CASE WHEN {c} IS NOT NULL THEN pow({d!r}, -pos) END) OVER {w}, 0)")
+
+
+def _units_sql() -> str:
+    w = "(PARTITION BY asset ORDER BY pos)"
+    outs = {f"delta_torque_{n}": f"target_torque - lag(target_torque, {k}) OVER {w}" for n, k in (("1", 1), ("1h", 6), ("2h", 12), ("4h", 24), ("8h", 48))}
+    outs |= {"dosing": f"lag(e1, 48) OVER {w}", "density_smooth": f"lag(e2, 18) OVER {w}"}
+    outs |= {f"{c}_6h": _w_roll(c, 36) for c in ROLES["long"]} | {f"{c}_2h": _w_roll(c, 12) for c in ROLES["short"]}
+    outs |= {"cone_smooth": _w_roll("click", 6), "delta_cone": f"lag(click, 1) OVER {w} - lag(click, 2) OVER {w}"}
+    for unit, names in ABSENT.items():
+        outs |= {n: f"CASE WHEN asset <> {unit} THEN {outs[n]} END" for n in names}
+    base = ["target_torque", "density_mean", "valves_mean", "valves_l1", "valves_l2"]
+    cols = ", ".join([f"{sql_r(c)} AS {c}" for c in base] + [f"{sql_r(v)} AS {n}" for n, v in outs.items()])
+    return f"""WITH {_panel_sql()},
+t AS (SELECT *, {s_rmean(ROLES['torque'])} AS target_torque, {s_rmean(ROLES['density'])} AS density_mean, {s_rmean(ROLES['valves'])} AS valves_mean,
+      {s_rmean(['click', 'signup'])} AS valves_l1, {s_rmean(['error', 'purchase'])} AS valves_l2 FROM g),
+e AS (SELECT *, {_w_ewm('error', 12.0)} AS e1, {_w_ewm('density_mean', 6.0)} AS e2 FROM t)
+SELECT asset, pos, {cols} FROM e"""
+
+
+@register("thickener_units", _units_sql())
+def thickener_units(spark, sf_dir):
+    """FEA18 in full: target, five deltas, dosing and density chains, valves, rolling means and the
+    rules of single units, for eight units on 10-minute rows."""
+    d = FE.thickener_unit_features(_asset_ten_minutes(spark, sf_dir), ["asset"], "pos", ROLES, 6, "asset", ABSENT, BUCKET)
+    return finish(d.drop(*ALL_TAGS))
+
+
+def _chains_sql() -> str:
+    w = "(PARTITION BY asset ORDER BY pos)"
+    return f"""WITH {_panel_sql()},
+a AS (SELECT *, ({s_rsum(['click', 'error'])} - coalesce(signup, 0.0)) * 3.6 AS fresh, click + view AS sag, {s_rsum(['purchase', 'error'])} AS conv,
+      {s_rsum(['signup', 'view'])} AS water, {s_rmean([s_cut('purchase', 0, 95), s_cut('signup', 0, 95)])} AS solid FROM g),
+b AS (SELECT *, sag + conv AS alls, {_w_ewm('error', 6.0)} AS e FROM a),
+c AS (SELECT *, {_w_roll('alls', 12, 48)} AS tt FROM b),
+d AS (SELECT *, {s_div('water', 'tt')} AS cea FROM c)
+SELECT asset, pos, {sql_r(f'lag(fresh, 30) OVER {w}')} AS fresh_water, {sql_r(f'lag(sag, 48) OVER {w}')} AS throughput_sag,
+  {sql_r(f'lag(conv, 48) OVER {w}')} AS throughput_conventional, {sql_r('tt')} AS throughput_total, {sql_r(_w_roll('solid', 12, 48))} AS solids,
+  {sql_r(f'lag(e, 1) OVER {w}')} AS ph_smooth, {sql_r(_w_roll('click', 12, 48))} AS click_smooth, {sql_r(_w_roll('view', 12, 48))} AS view_smooth,
+  {sql_r(_w_roll('cea', 12))} AS water_per_tonne FROM d"""
+
+
+@register("thickener_plant_chains", _chains_sql())
+def thickener_plant_chains(spark, sf_dir):
+    """FEA19, FEA20: fresh water, throughput, solids, water per tonne and pH with their dead times."""
+    d = FE.plant_chains(_asset_ten_minutes(spark, sf_dir), ["asset"], "pos", ["click", "error"], "signup", ["click", "view"],
+                        ["purchase", "error"], ["purchase", "signup"], ["signup", "view"], "error", 6, BUCKET)
+    return finish(d.drop(*ALL_TAGS))
+
+
 @register("relining_days", f"""
 WITH c AS (SELECT min(o_orderdate) AS start_ts FROM orders
            GROUP BY year(o_orderdate) * 2 + CASE WHEN month(o_orderdate) > 6 THEN 1 ELSE 0 END)

@@ -43,7 +43,7 @@ def test_ffill_ewm_runs(spark, bucket):
     g = ref.groupby("tag")["value"]
     ff = _pandas(W.ffill(d.withColumn("f", F.col("value")), ["tag"], "pos", ["f"], bucket))
     assert np.allclose(ff["f"], g.ffill(), equal_nan=True)
-    e = _pandas(W.ewm_mean(d, ["tag"], "pos", "value", 3.0, "e", bucket_rows=max(bucket, 192)))
+    e = _pandas(W.ewm_mean(d, ["tag"], "pos", "value", 3.0, "e", bucket_rows=bucket))
     assert np.allclose(e["e"], g.transform(lambda s: s.ewm(halflife=3.0).mean()), equal_nan=True, atol=1e-9)
     mx = W.max_null_run(d, ["tag"], "pos", "value", bucket).toPandas().set_index("tag")["max_null_run"]
     for tag, s in ref.groupby("tag")["value"]:
