@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from sensorloom.operators import attribution as A
 from sensorloom.operators import reports as R
 from sensorloom.plans.common import SQL_HOURLY, SQL_TEN_LONG, SQL_TEN_MIN, finish, register, sql_r
 from sensorloom.plans.features import CELLS_SQL, _metallurgy, s_cut, s_div, s_rsum
@@ -229,3 +230,27 @@ def fine_copper_chain(spark, sf_dir):
         {"x1": lambda d: 0.05 + F.col("tph_total") / 200.0, "x2": lambda d: 0.01 * F.coalesce("ratio", F.lit(1.0)) + 0.1},
         "conc", "feed", [0.5, 0.5], ratio_col="ratio")
     return finish(out.select("l_orderkey", "l_linenumber", "tph_total", "chain_cuf"))
+
+
+@register("attribution", f"""
+WITH {H}, b AS (SELECT avg(click) AS c, avg(view) AS v, avg(error) AS e FROM h),
+r AS (SELECT ts, click, view, error FROM h WHERE click IS NOT NULL AND view IS NOT NULL AND error IS NOT NULL),
+l AS (SELECT ts, 'click' AS feature, (click - c) * 0.03 * 50.0 AS x FROM r, b
+      UNION ALL SELECT ts, 'error', 2.0 * (error - e) FROM r, b
+      UNION ALL SELECT ts, 'view', 0.01 * (view * view - v * v) FROM r, b)
+SELECT ts, feature, {sql_r('x')} AS contribution, true AS adds_up FROM l
+""")
+def attribution(spark, sf_dir):
+    """ML13: contributions of an additive model are each feature's own term against the background;
+    the row sums are the prediction less the background's."""
+    feats = ["click", "view", "error"]
+    h = FX.hourly_wide(spark, sf_dir).select("ts", *feats)
+    mean = h.agg(*[F.avg(f).alias(f) for f in feats]).first().asDict()
+    model = lambda d: d.withColumn("prediction", F.col("click") * 0.03 * 50.0 + 2.0 * F.col("error") + 0.01 * F.col("view") * F.col("view"))
+    rows = h.na.drop()
+    out = A.permutation_attribution(rows, ["ts"], feats, model, mean)
+    base = spark.range(1).select(*[F.lit(mean[f]).alias(f) for f in feats])
+    start = model(base).first()["prediction"] if all(v is not None for v in mean.values()) else 0.0
+    sums = out.groupBy("ts").agg(F.sum("contribution").alias("s")).join(model(rows).select("ts", "prediction"), "ts")
+    sums = sums.select("ts", (F.abs(F.col("s") - (F.col("prediction") - start)) < 1e-6).alias("adds_up"))
+    return finish(out.join(sums, "ts"))
