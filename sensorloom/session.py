@@ -91,3 +91,15 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more, so that long jobs hold less of the shared folder."""
+    for t in tables:
+        spark = t.sparkSession
+        folders = {f.rpartition("/")[0] for f in t.inputFiles()}
+        for folder in folders:
+            if "/sensorloom-" not in folder:
+                raise ValueError(f"{folder} is not a scratch table")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

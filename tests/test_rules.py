@@ -121,3 +121,16 @@ def test_ranges_and_uplift(spark):
     rec = spark.createDataFrame([("r", datetime(2024, 1, 1), -100.0, -50.0)], "run_id string, ts timestamp_ntz, objective_current double, objective_suggested double")
     up = O.uplift(rec, spark.createDataFrame([("r", -200.0)], "run_id string, actual double")).first()
     assert (up.uplift_pred, up.uplift_pred_pct, up.uplift_actual, up.uplift_actual_pct) == (50.0, -50.0, 150.0, -75.0)
+
+
+def test_written_tables_and_discard(spark):
+    from sensorloom.session import discard, written
+    df = spark.range(10).selectExpr("id", "id % 2 AS k")
+    t = written(df, "numbers")
+    assert t.schema == df.schema and t.count() == 10
+    discard(t)
+    with pytest.raises(Exception):
+        t.count()
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
+    assert written(df.limit(0), "none").count() == 0
