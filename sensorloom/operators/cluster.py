@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators.quantiles import column_quantiles
 from sensorloom.operators.reshape import to_long
+from sensorloom.session import written
 
 
 def scale(df: DataFrame, cols: Sequence[str], method: str = "standard") -> DataFrame:
@@ -120,7 +121,11 @@ def fit_labels(df: DataFrame, cols: Sequence[str], algo: str, k: int, seed: int
     vec = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df)
     est = {"kmeans": KMeans, "bisecting": BisectingKMeans, "gmm": GaussianMixture}[algo](
         k=k, seed=seed, featuresCol="_v", predictionCol="_p")
-    model = est.fit(vec)
+    vec = vec.persist()
+    try:
+        model = est.fit(vec)
+    finally:
+        vec.unpersist()
     return model.transform(vec).withColumn(label_col, (F.col("_p") + 1).cast("int")) \
         .drop("_v", "_p", *(["probability"] if algo == "gmm" else []))
 
@@ -132,6 +137,7 @@ def find_best_model(df: DataFrame, cluster_vars: Sequence[str], metric_vars: Seq
     keep 3–6 clusters, take the best ``kl_div_total`` and, among those within
     ``band`` of it, the one with the least noise.  Returns (choice, table)."""
     rows = []
+    df = written(df, "sweep")  # every fit reads the table, not what made it
     for algo, k in grid:
         if not (min_clusters <= k <= max_clusters):
             continue

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sensorloom.operators import cluster as CL
@@ -81,26 +83,27 @@ d AS (SELECT {LAB} AS cluster, purchase FROM h)
 SELECT cluster, {sql_r('min(purchase)')} AS min, {sql_r('quantile_cont(purchase, 0.25)')} AS q1,
        {sql_r('median(purchase)')} AS median, {sql_r('quantile_cont(purchase, 0.75)')} AS q3,
        {sql_r('max(purchase)')} AS max, count(purchase) AS n
-FROM d WHERE cluster IN (1, 2) GROUP BY cluster
+FROM d GROUP BY cluster
 """)
 def cluster_box_stats(spark, sf_dir):
-    """CLU6 box statistics by cluster for the rows of clusters 1 and 2 (JOI5)."""
+    """CLU6 box statistics by cluster for the rows of every cluster (JOI5)."""
     h = FX.hourly_wide(spark, sf_dir)
     lab = FX.cluster_labels(spark, sf_dir)
-    parts = [J.select_data_clusters(h, lab, k).withColumn("cluster", F.lit(k)) for k in (1, 2)]
-    d = parts[0].unionByName(parts[1])
+    labels = sorted(r.cluster for r in lab.select("cluster").distinct().collect())
+    parts = [J.select_data_clusters(h, lab, k).withColumn("cluster", F.lit(k)) for k in labels]
+    d = reduce(lambda a, b: a.unionByName(b), parts)
     return finish(CL.box_stats(d, "cluster", "purchase"))
 
 
 @register("cluster_sweep")
 def cluster_sweep(spark, sf_dir):
     """CLU5 parameter grid, CLU1 scaling, CLU4 PCA, CLU2 (re-aimed) sweep of
-    KMeans / bisecting KMeans scored by CLU3 and chosen with the TOP3 rule."""
+    KMeans, bisecting KMeans and Gaussian mixtures of 3 to 6 clusters scored by CLU3 and chosen with the TOP3 rule."""
     h = FX.hourly_wide(spark, sf_dir).na.drop(subset=TAGS)
     z = CL.scale(h, TAGS, "standard")
     k, pcs = CL.pca_scores(z, TAGS, 0.8)
     grid = [(r["algo"], int(r["k"])) for r in
-            CL.params_grid(spark, {"algo": ["kmeans", "bisecting"], "k": [3, 4]}).collect()]
+            CL.params_grid(spark, {"algo": ["kmeans", "bisecting", "gmm"], "k": [3, 4, 5, 6]}).collect()]
     (algo, kbest), table = CL.find_best_model(pcs.join(h.select("ts", *[F.col(t).alias(f"raw_{t}") for t in MVARS]), "ts"),
                                               [f"pc_{i + 1}" for i in range(k)], [f"raw_{t}" for t in MVARS], grid)
     return finish(table.withColumn("chosen", (F.col("algo") == algo) & (F.col("k") == kbest))
