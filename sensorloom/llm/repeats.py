@@ -7,11 +7,12 @@ minimisers in both places, so nothing of ``passage`` words or more is missed.
 1. Kept suffixes are rows (head, neighbourhood, text, windows): the head is the
    sort key; the neighbourhood is the stretch of text in which this minimiser
    rules, left and right of it.
-2. Suffixes are brought in order by head.  Neighbours with one neighbourhood
-   match over all of it: they collapse into one row with a count, by partial
-   aggregates, so a passage in a third of all texts is one row per task.
+2. Suffixes that would stand side by side in the sorted array are brought
+   together by their head.  Those with one neighbourhood match over all of it:
+   they collapse into one row with a count, by partial aggregates, so a passage
+   in a third of all texts is one row per task.
 3. Heads that occur once drop out.  What is left, neighbours with one head and
-   different neighbourhoods, is extended to the left and right: every position of a
+   different neighbourhoods, is extended to the left and right: every place of a
    ``passage``-word match within the neighbourhood is compared with those of the
    neighbours, again by aggregates, since a group may be too large for a task.
 4. Matches that overlap are one span.
