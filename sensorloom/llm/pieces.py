@@ -23,10 +23,16 @@ from sensorloom.sources.tables import table
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-FINE = re.compile(r"▁*[^\W\d_]+|▁*[^▁\n\W]+|▁*(?:(?!▁)[^\w\n])+|▁+|\n")
+# runs that start with blanks
 COARSE = re.compile(r"▁*[^▁]+|▁+")
 
 
+def fine_runs(pieces) -> re.Pattern:
+    """Runs of letters, digits or other characters, with blanks before; numerals that are no digits, as ², count as others."""
+    odd = "_" + "".join(sorted({c for p in pieces for c in p if c.isalnum() and not c.isalpha() and not c.isdecimal()}))
+    return re.compile(rf"▁*[^\W\d{odd}]+|▁*\d+|▁*(?:[^\w▁\n]|[{odd}])+|▁+|\n")
+
+
 class CharMap:
     """Longest-prefix replacement by a compiled character map: trie size, trie units, then the replacements."""
 
@@ -55,10 +61,31 @@ class CharMap:
         return self.texts[value: self.texts.index(b"\0", value)], read
 
 
+class Runs(dict):
+    """What runs encode to, remembered: two generations of at most ``room`` short runs each."""
+
+    def __init__(self, make, room: int):
+        super().__init__()
+        self.make, self.room, self.old = make, room, {}
+
+    def __missing__(self, run: str) -> bytes:
+        got = self.old.get(run) or self.make(run)
+        if len(run) <= 64:
+            if len(self) >= self.room:
+                self.old = dict(self)
+                self.clear()
+            self[run] = got
+        return got
+
+
+NONE = 1 << 62
+SIZE = np.uint32(24)  # a piece is its id and, above these bits, its length in characters
+
+
 class Tokenizer:
     """One model's encoder and decoder.  ``remember`` bounds the runs kept in memory (two generations of that many)."""
 
-    def __init__(self, model: bytes, remember: int = 300_000):
+    def __init__(self, model: bytes, remember: int = 400_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -74,7 +101,9 @@ class Tokenizer:
         self.unk_surface = proto.trainer_spec.unk_surface
         self.types = [p.type for p in proto.pieces]
         self.pieces = [p.piece for p in proto.pieces]
-        self.rank = {p.piece: (-p.score, i) for i, p in enumerate(proto.pieces) if p.type == NORMAL}
+        self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
+        best = sorted((-p.score, i) for i, p in enumerate(proto.pieces) if p.type == NORMAL)
+        self.rank = {self.pieces[i]: k for k, (_, i) in enumerate(best)}
         self.unk = self.types.index(UNKNOWN)
         self.bytes = {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.back = {i: b for b, i in self.bytes.items()}
@@ -82,10 +111,8 @@ class Tokenizer:
         self.raw = [bytes([self.back[i]]) if t == BYTE else b"" if t == CONTROL else self.unk_surface.encode() if t == UNKNOWN
                     else p.replace(SPACE, " ").encode() for i, (p, t) in enumerate(zip(self.pieces, self.types))]
         whole = lambda rx: all([p] == rx.findall(p) for p in self.rank)
-        self.runs = next((rx.findall for rx in (FINE, COARSE) if whole(rx)), lambda s: [s] if s else [])
-        self.remember = remember
-        self.young: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.runs = next((rx.findall for rx in (fine_runs(self.rank), COARSE) if whole(rx)), lambda s: [s] if s else [])
+        self.known = Runs(lambda run: self._long(run) if len(run) > 256 else self._merge(run), remember)
 
     # -- normalisation -----------------------------------------------------
 
@@ -136,88 +163,70 @@ class Tokenizer:
 
     # -- pieces ------------------------------------------------------------
 
-    def _merge(self, run: str) -> tuple[bytes, bytes]:
-        """Ids (int32) and lengths in characters (int32) of one run's pieces: the best pair first, the leftmost of equals."""
-        rank, parts = self.rank, list(run)
-        pairs = [rank.get(a + b) for a, b in zip(parts, parts[1:])]
-        while live := [p for p in pairs if p is not None]:
-            k = pairs.index(min(live))
+    def _merge(self, run: str) -> bytes:
+        """One run's pieces, packed: the best pair is merged first, the leftmost of equals."""
+        rank, parts = self.rank.get, list(run)
+        pairs = [rank(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs and (least := min(pairs)) != NONE:
+            k = pairs.index(least)
             parts[k: k + 2] = [parts[k] + parts[k + 1]]
             del pairs[k]
             if k < len(pairs):
-                pairs[k] = rank.get(parts[k] + parts[k + 1])
+                pairs[k] = rank(parts[k] + parts[k + 1], NONE)
             if k:
-                pairs[k - 1] = rank.get(parts[k - 1] + parts[k])
-        ids, sizes = [], []
+                pairs[k - 1] = rank(parts[k - 1] + parts[k], NONE)
+        return self._packed(parts)
+
+    def _packed(self, parts: list[str]) -> bytes:
+        out = []
         for p in parts:
-            if p in rank:
-                ids.append(rank[p][1])
-                sizes.append(len(p))
-            elif self.bytes:
-                ids.extend(self.bytes[b] for b in p.encode("utf-8"))
-                sizes.extend([0] * (len(p.encode("utf-8")) - 1) + [1])
-            elif ids and ids[-1] == self.unk:  # unknown neighbours are one piece
-                sizes[-1] += 1
+            if (i := self.ids.get(p)) is not None:
+                out.append(i | len(p) << 24)
+            elif self.bytes:  # the last byte stands for the character
+                out.extend(self.bytes[b] for b in p.encode("utf-8"))
+                out[-1] |= 1 << 24
             else:
-                ids.append(self.unk)
-                sizes.append(1)
-        return np.array(ids, "<i4").tobytes(), np.array(sizes, "<i4").tobytes()
-
-    def _run(self, run: str) -> tuple[bytes, bytes]:
-        got = self.young.get(run)
-        if got is None:
-            got = self.old.get(run) or (self._long(run) if len(run) > 256 else self._merge(run))
-            if len(run) <= 64:
-                if len(self.young) >= self.remember:
-                    self.old, self.young = self.young, {}
-                self.young[run] = got
-        return got
+                out.append(self.unk | 1 << 24)
+        return np.array(out, "<u4").tobytes()
 
-    def _long(self, run: str) -> tuple[bytes, bytes]:
+    def _long(self, run: str) -> bytes:
         """As _merge, for long runs: a heap of pairs over a linked list, in n log n."""
         import heapq
 
         rank, n = self.rank, len(run)
         parts: list[str | None] = list(run)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, k, 2) for k in range(n - 1) if (r := rank.get(run[k: k + 2]))]
+        heap = [(r, k, 2) for k in range(n - 1) if (r := rank.get(run[k: k + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, size = heapq.heappop(heap)
+            r, k, size = heapq.heappop(heap)
             nxt = right[k] if parts[k] is not None else n
-            if parts[k] is None or nxt >= n or len(parts[k]) + len(parts[nxt]) != size or parts[k] + parts[nxt] not in rank:
+            if nxt >= n or len(parts[k]) + len(parts[nxt]) != size or rank.get(parts[k] + parts[nxt]) != r:
                 continue
             parts[k], parts[nxt] = parts[k] + parts[nxt], None
             right[k] = right[nxt]
             if right[k] < n:
                 left[right[k]] = k
             for a in (left[k], k):
-                if a >= 0 and right[a] < n and (r := rank.get(parts[a] + parts[right[a]])):
+                if a >= 0 and right[a] < n and (r := rank.get(parts[a] + parts[right[a]])) is not None:
                     heapq.heappush(heap, (r, a, len(parts[a]) + len(parts[right[a]])))
-        done = [self._merge_one(p) for p in parts if p is not None]
-        ids, sizes = b"".join(x for x, _ in done), b"".join(y for _, y in done)
-        return ids, sizes
-
-    def _merge_one(self, p: str) -> tuple[bytes, bytes]:
-        if p in self.rank:
-            return np.array([self.rank[p][1]], "<i4").tobytes(), np.array([len(p)], "<i4").tobytes()
-        return self._merge(p)
+        return self._packed([p for p in parts if p is not None])
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first bytes, end bytes) of the pieces; null as an empty text, which has none.
 
         Of a character spelled in bytes, the last byte piece spans it and those before it are empty, at its start."""
         norm, at = self.normal(text or "")
-        done = list(map(self._run, self.runs(norm)))
-        ids = np.frombuffer(b"".join([x for x, _ in done]), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join([y for _, y in done]), "<i4"), dtype=np.int64)
+        packed = np.frombuffer(b"".join(map(self.known.__getitem__, self.runs(norm))), "<u4")
+        ids = (packed & np.uint32((1 << 24) - 1)).astype("<i4")
+        ends = np.cumsum(packed >> SIZE, dtype=np.int64)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if not self.bytes and (ids[1:] == self.unk).any():
             ids, begins, ends = self._join_unknown(ids, begins, ends)
         return ids, at[begins], at[ends]
 
     def _join_unknown(self, ids, begins, ends):
-        """Unknown pieces that touch over a run's edge are one piece."""
+        """Unknown characters that touch are one piece."""
         first = np.ones(len(ids), bool)
         first[1:] = (ids[1:] != self.unk) | (ids[:-1] != self.unk)
         last = np.append(first[1:], True)
