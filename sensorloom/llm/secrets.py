@@ -117,7 +117,9 @@ def candidates_of(text: str | None) -> Iterator[tuple[int, int, str, str, str]]:
 
 
 def dictionary(docs: DataFrame, size: int = 20_000, text: str = "text") -> Dictionary:
-    """The ``size`` words in the most documents of ``docs``; all documents count, ties fall to the smaller word."""
+    """The words in at least 2**k documents of ``docs``, for the smallest k that gives at most ``size`` words.
+
+    All documents count; the driver gets a row per power of two, and then at most ``size`` words."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for pdf in batches:
@@ -129,7 +131,14 @@ def dictionary(docs: DataFrame, size: int = 20_000, text: str = "text") -> Dicti
         yield pd.DataFrame(seen.items(), columns=["word", "n"]).astype({"word": "object", "n": "int64"})
 
     words = docs.select(F.col(text).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return Dictionary([r.word for r in words.where("n > 1").orderBy(F.desc("n"), "word").limit(size).select("word").collect()])
+    words = written(words.where("n > 1").withColumn("k", F.floor(F.log2("n"))), "words")
+    level, total = 64, 0
+    for r in words.groupBy("k").count().orderBy(F.desc("k")).collect():
+        total += r["count"]
+        if total > size:
+            break
+        level = r.k
+    return Dictionary([r.word for r in words.where(F.col("k") >= level).orderBy("word").select("word").collect()])
 
 
 def findings(docs: DataFrame, words: Dictionary, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
