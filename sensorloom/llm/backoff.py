@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm.decontaminate import words_of
-from sensorloom.session import written
+from sensorloom.session import discard, written
 from sensorloom.sources.tables import table
 
 ORDER, WEIGHT, OOV = 2, 0.4, 0.5
@@ -62,17 +62,21 @@ def gram_tables(train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oo
         suffix = below.select(F.col("key").alias("suffix"), F.col("s").alias("ls"))
         counted = written(grams.join(prefix, "prefix").select("key", "suffix", F.log("c").alias("lc"), (F.log("c") - F.col("lp")).alias("s")), "counted")
         below = written(counted.join(suffix, "suffix").select("key", "lc", "s", (F.col("s") - F.col("ls") - math.log(weight)).alias("d")), "grams")
+        discard(counted)
         out.append(below.select("key", "d"))
+    discard(words)
     return out, int(total)
 
 
 def scores(docs: DataFrame, train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV,
-           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+           doc_id: str = "doc_id", text: str = "text", slices: int = 2) -> DataFrame:
     """``doc_id, n_words, n_seen, log_score`` per row of ``docs`` under the n-gram counts of ``train(text)``.
 
     ``n_seen`` counts words whose n-gram of the highest order was seen;
     ``log_score`` is the natural log of the product of the words' scores, 0
     without words (null and empty texts), and null if ``train`` has no words.
+    The n-grams of an order are joined in ``slices`` parts by hash, one after the
+    other: the shuffle of one part is all the disk that is needed at a time.
     Words are as in decontamination.  Repeated rows get equal results; a null
     doc_id is a row like others; other columns are not read."""
     tables, total = gram_tables(train, order, weight, oov)
@@ -82,10 +86,13 @@ def scores(docs: DataFrame, train: DataFrame, order: int = ORDER, weight: float
     copies = rows.groupBy("doc").agg(F.count("*").alias("copies")).where("copies > 1")
     sums = None
     for k, grams in enumerate(tables, 1):
-        exploded = hashed_words(words, "doc").select("doc", F.explode(_grams(k)["key"]).alias("key"))
-        one = exploded.join(grams, "key").groupBy("doc").agg(F.sum("d").alias("d"), F.count("*").alias("n"))
-        one = written(one.withColumn("k", F.lit(k)), f"order{k}")
-        sums = one if sums is None else sums.unionByName(one)
+        for part in range(slices):
+            own = F.pmod(F.xxhash64("key", F.lit(k)), F.lit(slices)) == part
+            exploded = hashed_words(words, "doc").select("doc", F.explode(_grams(k)["key"]).alias("key")).where(own)
+            one = exploded.join(grams.where(own), "key").groupBy("doc").agg(F.sum("d").alias("d"), F.count("*").alias("n"))
+            one = written(one.withColumn("k", F.lit(k)), f"order{k}-{part}")
+            sums = one if sums is None else sums.unionByName(one)
+        discard(grams)
     sums = sums.groupBy("doc").agg(F.sum("d").alias("d"), F.sum(F.when(F.col("k") == order, F.col("n"))).alias("n"))
     out = rows.join(sums, "doc", "left").join(copies, "doc", "left")
     once = F.coalesce("copies", F.lit(1))
