@@ -11,6 +11,15 @@ where s_k = log c(h w) - log c(h) and h' is h without its first word; each word
 log(oov / T) and (orders open to it - 1) log a besides.  So a document's n-grams
 are exploded, joined by hash to tables (n-gram hash, d) and summed; no position
 is ever grouped.  Each order is a step of its own that ends in sums per document.
+
+Where the documents are their own training corpus, every n-gram of theirs was seen
+and no word backs off, so that the scores of a document's words cancel down to
+
+    log score = sum of log c(K-gram) - sum of log c(inner (K-1)-gram) - log T
+
+with K the order and an inner n-gram one that starts neither a document nor ends it
+(a document of n < K words has log c(all of it) - log T).  Counts alone do then, and
+a slice of the n-grams by hash is counted and summed before the next one.
 """
 
 from __future__ import annotations
@@ -24,7 +33,7 @@ from sensorloom.llm.decontaminate import words_of
 from sensorloom.session import discard, written
 from sensorloom.sources.tables import table
 
-ORDER, WEIGHT, OOV = 2, 0.4, 0.5
+ORDER, WEIGHT, OOV = 3, 0.4, 0.5
 
 
 def _grams(k: int) -> Column:
@@ -68,9 +77,44 @@ def gram_tables(train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oo
     return out, int(total)
 
 
-def scores(docs: DataFrame, train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV,
+def _own_sums(words: DataFrame, order: int, slices: int) -> DataFrame:
+    """``doc, d`` of ``words(doc, h)``: what the counts of their own n-grams give each document, without the share of T."""
+    n, sums = F.size("h"), None
+    for k in range(1, order + 1):
+        keys = _grams(k)["key"]
+        if k == order:
+            used, sign = keys, 1
+        elif k == order - 1:  # the inner ones, or the only one of a document that has no longer one
+            used, sign = F.when(n == k, keys).when(n > order, F.slice(keys, 2, n - order)), F.when(n == k, 1).otherwise(-1)
+        else:
+            used, sign = F.when(n == k, keys), 1
+        sign = F.lit(sign) if isinstance(sign, int) else sign
+        for part in range(slices):
+            own = F.pmod(F.xxhash64("key", F.lit(k)), F.lit(slices)) == part
+            counts = words.select(F.explode(keys).alias("key")).where(own).groupBy("key").agg(F.log(F.count("*")).alias("lc"))
+            terms = words.select("doc", sign.alias("sign"), F.explode(used).alias("key")).where(own)
+            one = terms.join(counts, "key").groupBy("doc").agg(F.sum(F.col("sign") * F.col("lc")).alias("d"))
+            one = written(one, f"own{k}-{part}")
+            sums = one if sums is None else sums.unionByName(one)
+    return sums.groupBy("doc").agg(F.sum("d").alias("d"))
+
+
+def _own_scores(docs: DataFrame, order: int, slices: int) -> DataFrame:
+    """``scores`` of ``docs(doc_id, text)`` under their own n-gram counts."""
+    docs = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
+    words = written(hashed_words(docs, "doc"), "words")
+    total = words.agg(F.coalesce(F.sum(F.size("h")), F.lit(0))).first()[0]
+    rows = words.groupBy("doc").agg(F.count("*").alias("copies"), F.first(F.size("h").cast("long")).alias("n_words"))
+    out = docs.select("doc_id", "doc").join(rows.join(_own_sums(words, order, slices), "doc", "left"), "doc", "left")
+    n = F.col("n_words")
+    shares = (n if order == 1 else F.when(n > 0, 1).otherwise(0)) * F.lit(math.log(max(total, 1)))
+    return out.select("doc_id", "n_words", F.greatest(n - (order - 1), F.lit(0).cast("long")).alias("n_seen"),
+                      F.when(F.lit(total > 0), F.coalesce("d", F.lit(0.0)) / F.col("copies") - shares).alias("log_score"))
+
+
+def scores(docs: DataFrame, train: DataFrame | None = None, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV,
            doc_id: str = "doc_id", text: str = "text", slices: int = 2) -> DataFrame:
-    """``doc_id, n_words, n_seen, log_score`` per row of ``docs`` under the n-gram counts of ``train(text)``.
+    """``doc_id, n_words, n_seen, log_score`` per row of ``docs`` under the n-gram counts of ``train(text)``, or of all ``docs``.
 
     ``n_seen`` counts words whose n-gram of the highest order was seen;
     ``log_score`` is the natural log of the product of the words' scores, 0
@@ -79,8 +123,10 @@ def scores(docs: DataFrame, train: DataFrame, order: int = ORDER, weight: float
     other: the shuffle of one part is all the disk that is needed at a time.
     Words are as in decontamination.  Repeated rows get equal results; a null
     doc_id is a row like others; other columns are not read."""
-    tables, total = gram_tables(train, order, weight, oov)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if train is None:
+        return _own_scores(docs, order, slices)
+    tables, total = gram_tables(train, order, weight, oov)
     words = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     copies = rows.groupBy("doc").agg(F.count("*").alias("copies")).where("copies > 1")
@@ -104,14 +150,14 @@ def scores(docs: DataFrame, train: DataFrame, order: int = ORDER, weight: float
 
 
 def good_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training corpus of the query: documents labelled of good quality and not toxic."""
+    """A training corpus to pass as ``train``: documents labelled of good quality and not toxic."""
     labels = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id").distinct()
     return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left_semi").select("text")
 
 
 def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query: bigram stupid-backoff score of every document under the good documents."""
-    rows = scores(table(spark, sf_dir, "documents"), good_documents(spark, sf_dir))
+    """Query: trigram stupid-backoff score of every document under the counts of all documents."""
+    rows = scores(table(spark, sf_dir, "documents"))
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words") * 1e6 + 0.001) / 1e6)
     return rows.select("doc_id", "n_words", "n_seen", mean.alias("mean_log_score"))
 

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from sensorloom.llm import backoff
+from sensorloom.sources.tables import table
 
 
 def slow(docs, train, order):
@@ -54,3 +55,26 @@ def test_empty(spark):
     none = df.select("text").limit(0)
     assert [r.log_score for r in backoff.scores(df, none).collect()] == [None]
     assert backoff.scores(df.limit(0), df.select("text")).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("slices", [1, 3])
+def test_own_counts_match_plain_version(spark, order, slices):
+    docs = rows(order)[0] + [(60, "dog"), (61, "cat ran"), (62, "cat ran far"), (None, None)]
+    df = spark.createDataFrame([(d, t, 1, "x") for d, t in docs], "doc_id long, text string, d int, key string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_seen, r.log_score) for r in backoff.scores(df, order=order, slices=slices).collect())
+    want = slow(docs, [t for _, t in docs], order)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-4)
+
+
+def test_query_counts_trigrams_of_all_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    spelled = lambda t: "".join(c if c < "\x80" else f"u{ord(c)}x" for c in t or "")  # only ASCII letters lose their case
+    docs = [(r.doc_id, spelled(r.text)) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    got = sorted((str(r.doc_id), r.n_words, r.n_seen, r.mean_log_score) for r in backoff.op9_backoff(spark, sf).collect())
+    want = slow(docs, [t for _, t in docs], 3)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] / w[1] if w[1] else None for w in want], abs=1e-5)
+    assert all(g[2] == max(0, g[1] - 2) for g in got)
+    assert backoff.scores(table(spark, sf, "documents").limit(0)).count() == 0
