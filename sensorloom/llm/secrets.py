@@ -6,7 +6,8 @@ neighbouring words; the dictionary is the most widespread words of the corpus
 itself, counted over all documents.  The forest is fitted on labelled findings:
 a table of them if one is given, else findings that seed rules decide (known
 key formats and assignments; plain numbers, words and padding), at most about
-``sample_rows`` of either kind drawn by hash.  Extraction is an Arrow pass,
+``sample_rows`` of either kind drawn by hash.  Seed labels are for the fit only:
+the forest's probability decides every finding.  Extraction is an Arrow pass,
 fitting and scoring are MLlib.
 """
 
@@ -97,7 +98,7 @@ def features(value: str, before: str, after: str, path: str, words: Dictionary)
 
 
 def seed_label(value: str, before: str, words: Dictionary) -> float | None:
-    """1 and 0 where a rule decides, None where the forest has to."""
+    """1 and 0 where a rule labels a finding for the fit, None elsewhere."""
     if FORMATS.fullmatch(value):
         return 1.0
     kinds = char_classes(value.rstrip("="))
@@ -181,11 +182,11 @@ def fit(labelled: DataFrame, sample_rows: int = 20_000, trees: int = 40, depth:
 
 
 def scored(found: DataFrame, model) -> DataFrame:
-    """``found`` with ``score``: the forest's probability of a secret; a seed rule's verdict stands where there is one."""
+    """``found`` with ``score``: the forest's probability of a secret; without a forest what the seed rules say."""
     if model is None:
         return found.withColumn("score", F.coalesce("label", F.lit(0.0)))
     rows = model.transform(found.withColumn("v", array_to_vector("x")))
-    return rows.select(*found.columns, F.coalesce("label", vector_to_array("probability")[1]).alias("score"))
+    return rows.select(*found.columns, vector_to_array("probability")[1].alias("score"))
 
 
 def secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, sample_rows: int = 20_000,

@@ -67,3 +67,20 @@ def test_odd_rows(spark):
     assert got == {None: [(10, 30)], 3: [(10, 30)]}
     assert sorted((r.text or "") for r in sec.redact(df).collect()) == ["", "", *['password="[SECRET]"'] * 3]
     assert sec.secrets(df.limit(0)).count() == 0
+
+
+def test_forest_decides_what_a_seed_labels(spark):
+    rng = random.Random(4)
+    pick = lambda chars, n: "".join(rng.choices(chars, k=n))
+    rows = []
+    for i in range(240):
+        # the given labels say: commit hashes after 'token =' are none, long numbers are secrets; the seed rules say the opposite
+        value, secret = (pick(HEX, 40), 0.0) if i % 2 else (pick("0123456789", 16), 1.0)
+        rows.append((i, f"see {'token = ' if i % 2 else 'number '}{value} here", "src/a.py", secret))
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+    truth = spark.createDataFrame([(d, s) for d, _, _, s in rows], "doc_id long, truth double")
+    found = sec.findings(df, sec.dictionary(df))
+    assert {r.doc_id % 2: r.label for r in found.collect()} == {1: 1.0, 0: 0.0}
+    given = found.join(truth, "doc_id").drop("label").withColumnRenamed("truth", "label").where("doc_id < 160")
+    got = {r.doc_id: len(r.spans) for r in sec.secrets(df, labelled=given).collect()}
+    assert got == {d: int(s) for d, _, _, s in rows}
