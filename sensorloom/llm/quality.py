@@ -1,9 +1,9 @@
 """Quality rules with cross-document line frequency (operator 1).
 
 One Arrow pass per document gives word, symbol and repeat counts and the hashes
-of its normalised lines.  Lines are then counted per host over distinct texts
-(copies of a page are one document), with a partial count in every task, so a
-line that stands in a third of all rows is one row per task in the shuffle.
+of its normalised lines.  Lines are then counted per host over distinct documents
+(copies of a page under ids of their own are documents each), first by line and
+document and then by line, with a partial count in every task.
 """
 
 from __future__ import annotations
@@ -29,15 +29,15 @@ DIGITS = re.compile(r"\d+")
 @dataclass(frozen=True)
 class Limits:
     """``min_words`` and ``repeat_share`` are the base rules.  A line is removed
-    in a host if more than ``min_docs`` of its distinct texts and more than
-    ``doc_share`` of them hold it; a document is depleted if removal takes more
+    in a host if more than ``min_docs`` of its distinct documents hold it, and
+    more than ``doc_share`` of them where a share is given; a document is depleted if removal takes more
     than ``depleted_share`` of its words."""
 
     min_words: int = 20
     repeat_percent: int = 30
     window: int = 8
     min_docs: int = 10
-    doc_share: float = 0.1
+    doc_share: float = 0.0
     depleted_share: float = 0.5
 
 
@@ -117,15 +117,17 @@ def _host(host: str):
 
 
 def frequent_lines(rows: DataFrame, limits: Limits) -> DataFrame:
-    """``host, line, keeper``: lines above the limits; ``keeper`` is the text hash of the first document (smallest id) with it."""
-    texts = rows.groupBy("host", "text_hash").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("k"), F.first(F.array_distinct("lines")).alias("lines"))
-    texts = written(texts, "texts")
-    first = F.struct("k.none", "k.doc_id", "text_hash")
-    lines = texts.select("host", F.explode("lines").alias("line"), first.alias("k"))
-    lines = lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("k").alias("k")).where(F.col("n") > limits.min_docs)
-    sizes = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
-    lines = lines.join(sizes, "host").where(F.col("n") > F.col("n_texts") * F.lit(limits.doc_share))
+    """``host, line, keeper``: lines above the limits; ``keeper`` is the text hash of the first document (smallest id) with it.
+
+    A document is a doc_id of the host, or a distinct text where the id is null."""
+    texts = rows.groupBy("host", "text_hash", "doc_id").agg(F.first(F.array_distinct("lines")).alias("lines"))
+    none = F.col("doc_id").isNull()
+    texts = written(texts.withColumn("doc", F.struct("doc_id", F.when(none, F.col("text_hash")).alias("text"))), "texts")
+    lines = texts.select("host", F.explode("lines").alias("line"), "doc", F.struct(none.alias("none"), "doc_id", "text_hash").alias("k"))
+    lines = lines.groupBy("host", "line", "doc").agg(F.min("k").alias("k")).groupBy("host", "line").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    lines = lines.where(F.col("n") > limits.min_docs)
+    sizes = texts.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
+    lines = lines.join(sizes, "host").where(F.col("n") > F.col("n_docs") * F.lit(limits.doc_share))
     return written(lines.select("host", "line", F.col("k.text_hash").alias("keeper")), "frequent")
 
 

@@ -78,3 +78,14 @@ def test_empty(spark):
 def test_repeat_words():
     for text in ["a b c d e f g h " * 3, "a " * 40, "a b c d e f g h x a b c d e f g h", "a b c d e f g h", "", "a b c d e f g h i " + "q r a b c d e f g h i z"]:
         assert q.repeat_words(text.encode().split(), 8) == slow_facts(text)[4]
+
+
+def test_shared_line_goes_in_a_host_of_any_size(spark):
+    w = lambda i: " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k)}" for k in range(25))
+    # a line in 12 of 400 documents, one in 10 of them, and the lines of one text that stands under 15 ids
+    data = [(i, w(i) + ("\nfollow us on all channels" if i < 12 else "\nten times only" if i < 22 else ""), "big") for i in range(400)]
+    data += [(1000 + i, "zz " + w(0) + "\nthe copied last line", "big") for i in range(15)] + [(2000, w(600) + "\nthe copied last line", "big")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_removed_lines for r in q.judged(df).collect()}
+    assert [got[i] for i in range(22)] == [0] + [1] * 11 + [0] * 10
+    assert got[2000] == 1 and all(got[1000 + i] == 0 for i in range(15))  # copies of the first holder keep it
