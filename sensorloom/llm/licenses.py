@@ -53,6 +53,15 @@ SENTENCES = {
                "merchantability or fitness for a particular purpose",
     "GplSee": "see the gnu general public license for more details",
     "GplReceived": "you should have received a copy of the gnu general public license along with this program",
+    # The same notices as they are cut at their ';', ':' and 'v. '.
+    "GplTerms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    **{f"Gpl{v}Later": f"either version {v} of the license or at your option any later version" for v in (2, 3)},
+    **{f"Gpl{v}You": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+                     f"foundation either version {v} of the license or at your option any later version" for v in (2, 3)},
+    "GplHopeBut": "this program is distributed in the hope that it will be useful but without any warranty",
+    "GplWithoutEven": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "Mpl2Terms": "this source code form is subject to the terms of the mozilla public license v",
+    "Mpl2ObtainHttps": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0",
     "Mpl2Subject": "this source code form is subject to the terms of the mozilla public license v 2.0",
     "Mpl2Obtain": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0",
     "CcByNc4": "licensed under cc by nc 4.0",
@@ -75,8 +84,14 @@ RULES = [
     ("GPL-3.0-or-later", ["Gpl3Free"]),
     ("GPL-2.0-or-later", ["GplFree", "GplHope", "GplSee", "GplReceived"]),
     ("GPL-2.0-or-later", ["GplFree"]),
+    *[(f"GPL-{v}.0-or-later", [*head, *tail]) for v in (3, 2) for head in ([f"Gpl{v}You"], ["GplTerms", f"Gpl{v}Later"])
+      for tail in (["GplHopeBut", "GplWithoutEven", "GplSee", "GplReceived"], [])],
     ("MPL-2.0", ["Mpl2Subject", "Mpl2Obtain"]),
     ("MPL-2.0", ["Mpl2Subject"]),
+    # 'v. 2.0.' leaves '2.0' between these; the wording is that of version 2.0 only
+    ("MPL-2.0", ["Mpl2Terms"]),
+    ("MPL-2.0", ["Mpl2Obtain"]),
+    ("MPL-2.0", ["Mpl2ObtainHttps"]),
     ("ISC", ["IscGrant"]),
     ("Apache-2.0", ["ApacheShort"]),
     ("Apache-2.0", ["ApacheYou"]),
@@ -93,7 +108,9 @@ RULES = [
 ]
 # Every sentence above holds one of these, so a text without any has none of them.
 CUES = ["licen", "cc0", "warrant", "permission", "redistribut", "copyright", "domain", "reserved", "mpl"]
-ENDS, NOISE = r"[.!?:;]+([\x20\x09-\x0D]+|\z)", r"[^a-z0-9.\n]+"
+# A list number after the end of a sentence goes with the end.
+ENDS = r"[.!?:;]+([\x20\x09-\x0D]+|\z)([#*/\x20\x09-\x0D]*[(]?[0-9]{1,2}[.)][\x20\x09-\x0D]+)?"
+NOISE = r"[^a-z0-9.\n]+"
 
 
 def tagged(sequence: list[str]) -> str:

@@ -65,3 +65,47 @@ def test_every_sentence_has_a_cue_and_a_rule():
         assert s == re.sub("[^a-z0-9.]+", " ", s).strip() and "licence" not in s
     used = {x for _, ids in lic.RULES for x in ids}
     assert used <= set(lic.SENTENCES)
+
+
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program"""
+GPL2 = GPL.format(";", ";", 2) + "; if not, write to the Free Software\nFoundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA."
+GPL3 = GPL.format(":", ",", 3) + ".  If not, see <https://www.gnu.org/licenses/>."
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http{0}://mozilla.org/MPL/2.0/."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_standard_notices(spark):
+    texts = {"GPL-2.0-or-later": [GPL2], "GPL-3.0-or-later": [GPL3], "MPL-2.0": [MPL.format(""), MPL.format("s")], "BSD-2-Clause": [BSD2], "BSD-3-Clause": [BSD3]}
+    cases = [(name, "Some words.\n" + wrap(t)) for name, ts in texts.items() for t in ts
+             for wrap in (str, lambda t: t.replace("\n", " "), lambda t: "# " + t.replace("\n", "\n# "))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")
+    got = {r.doc_id: r for r in lic.licenses(df).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [[name] for name, _ in cases]
+    assert all(got[i].n_unmatched == 0 for i, (_, t) in enumerate(cases) if t.count("\n") == 1), "notices on one line"
