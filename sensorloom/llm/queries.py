@@ -22,7 +22,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_quality": quality.op1_quality,
         "op2_warc": warc.SQL,
         "op3_licenses": licenses.SQL,
         "op6_decontaminate": decontaminate.SQL,
