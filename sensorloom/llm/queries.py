@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import backoff, bitplanes, decontaminate, licenses, pieces, pii, quality, repeats, secrets, simhash, warc
+from sensorloom.llm import backoff, bitplanes, caps, decontaminate, licenses, pieces, pii, quality, repeats, secrets, simhash, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_backoff": backoff.op9_backoff,
         "op10_pii": pii.op10_pii,
         "op12_bitplanes": bitplanes.op12_bitplanes,
+        "op13_caps": caps.op13_caps,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_suffix_repeats": repeats.SQL,
         "op9_backoff": backoff.SQL,
         "op12_bitplanes": bitplanes.SQL,
+        "op13_caps": caps.SQL,
     }
