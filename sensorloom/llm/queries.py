@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import backoff, bitplanes, caps, decontaminate, licenses, pieces, pii, quality, repeats, secrets, simhash, warc
+from sensorloom.llm import backoff, bitplanes, caps, decontaminate, licenses, pieces, pii, quality, repeats, secrets, simhash, variants, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_suffix_repeats": repeats.op8_suffix_repeats,
         "op9_backoff": backoff.op9_backoff,
         "op10_pii": pii.op10_pii,
+        "op11_variants": variants.op11_variants,
         "op12_bitplanes": bitplanes.op12_bitplanes,
         "op13_caps": caps.op13_caps,
     }
@@ -29,6 +30,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": decontaminate.SQL,
         "op8_suffix_repeats": repeats.SQL,
         "op9_backoff": backoff.SQL,
+        "op11_variants": variants.SQL,
         "op12_bitplanes": bitplanes.SQL,
         "op13_caps": caps.SQL,
     }
