@@ -69,7 +69,8 @@ def words(docs: DataFrame, shortest: int = SHORTEST, least: int = LEAST, held: i
                     sums[word] += n
                 if len(sums) > held:
                     yield out()
-        yield out()
+        if sums:
+            yield out()
 
     rows = docs.where("text is not null").select("doc_id", "text").mapInPandas(count, "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
