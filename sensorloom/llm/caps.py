@@ -168,20 +168,22 @@ def meet(ids: np.ndarray, copies: np.ndarray, u: np.ndarray, cap: int, caps: Cap
     starts = [(a, min(a + BLOCK, n)) for a in range(0, n, BLOCK)]
     links, labels, held = np.zeros(n, np.int64), np.arange(n), {}
 
-    def lists(a: int, b: int):
-        """The caps under ``cap`` of rows a to b, as (row, cap); and those that all of them have."""
+    def smaller(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``rows``, cap) of their caps under ``cap``."""
+        r, c = caps.decode(fine(u[rows]))
+        return r[c < cap], c[c < cap]
+
+    def shared_by_all(a: int, b: int) -> set[int]:
         if (a, b) not in held:
-            r, c = caps.decode(fine(u[a:b]))
-            r, c = r[c < cap], c[c < cap]
-            value, number = np.unique(c, return_counts=True)
-            held[a, b] = r, c, set(value[number == b - a].tolist())
+            value, number = np.unique(smaller(np.arange(a, b))[1], return_counts=True)
+            held[a, b] = set(value[number == b - a].tolist())
         return held[a, b]
 
     for k, (a, b) in enumerate(starts):
         for c, d in starts[k:]:
             if at is not None and at[a] == at[b - 1] == at[c] == at[d - 1]:
                 continue
-            if n > BLOCK and not lists(a, b)[2].isdisjoint(lists(c, d)[2]):
+            if n > BLOCK and not shared_by_all(a, b).isdisjoint(shared_by_all(c, d)):
                 continue  # all these pairs meet in a smaller cap
             near = u[a:b] @ u[c:d].T >= least
             if a == c:
@@ -191,16 +193,17 @@ def meet(ids: np.ndarray, copies: np.ndarray, u: np.ndarray, cap: int, caps: Cap
             i, j = np.nonzero(near)
             if not len(i):
                 continue
-            ri, ci, _ = lists(a, b)
-            rj, cj, _ = lists(c, d)
+            rows_i, at_i = np.unique(i + a, return_inverse=True)
+            rows_j, at_j = np.unique(j + c, return_inverse=True)
+            (ri, ci), (rj, cj) = smaller(rows_i), smaller(rows_j)
             shared = np.intersect1d(ci, cj)
             if len(shared):
-                left, right = np.zeros((b - a, len(shared)), np.float32), np.zeros((d - c, len(shared)), np.float32)
+                left, right = np.zeros((len(rows_i), len(shared)), np.float32), np.zeros((len(rows_j), len(shared)), np.float32)
                 for m, r, v in ((left, ri, ci), (right, rj, cj)):
                     p = np.searchsorted(shared, v)
                     ok = shared[np.minimum(p, len(shared) - 1)] == v
                     m[r[ok], p[ok]] = 1
-                first = (left @ right.T)[i, j] == 0
+                first = (left @ right.T)[at_i, at_j] == 0
                 i, j = i[first], j[first]
             if len(i):
                 np.add.at(links, i + a, copies[j + c])
@@ -210,6 +213,42 @@ def meet(ids: np.ndarray, copies: np.ndarray, u: np.ndarray, cap: int, caps: Cap
     return ids[hit], links[hit], ids[labels[hit]]
 
 
+def meet_small(ids: np.ndarray, copies: np.ndarray, u: np.ndarray, cap: np.ndarray, groups: list[tuple[int, int]], caps: Caps, least: float, most: int = 1 << 14):
+    """As :func:`meet` for many caps of at most ``BLOCK`` rows each, the rows a to b of ``groups``; caps are decoded once for all."""
+    pairs = []
+    for a, b in groups:
+        i, j = np.nonzero(np.triu(u[a:b] @ u[a:b].T >= least, 1))
+        if len(i):
+            pairs.append((i + a, j + a))
+    if not pairs:
+        return np.zeros((3, 0), np.int64)
+    i, j = (np.concatenate(p) for p in zip(*pairs))
+    rows, at = np.unique(ids[np.concatenate([i, j])], return_index=True)
+    place = np.concatenate([i, j])[at]
+    row, own = caps.decode(fine(u[place]))
+    first = np.searchsorted(row, np.arange(len(rows) + 1))
+    width = np.int64(CODES * caps.each)
+    known = row * width + own
+    x, y, c = np.searchsorted(rows, ids[i]), np.searchsorted(rows, ids[j]), cap[i]
+    new = np.ones(len(x), bool)
+    for k in range(0, len(x), most):
+        part = slice(k, k + most)
+        many = first[x[part] + 1] - first[x[part]]
+        pair = np.repeat(np.arange(len(many)), many)
+        of_x = own[np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + first[x[part]][pair]]
+        below = of_x < c[part][pair]
+        pair, asked = pair[below], y[part][pair[below]] * width + of_x[below]
+        p = np.searchsorted(known, asked)
+        new[k + pair[known[np.minimum(p, len(known) - 1)] == asked]] = False
+    x, y, i, j = x[new], y[new], i[new], j[new]
+    links, labels = np.zeros(len(rows), np.int64), np.arange(len(rows))
+    np.add.at(links, x, copies[j])
+    np.add.at(links, y, copies[i])
+    _hang(labels, x, y)
+    hit = np.nonzero(links)[0]
+    return rows[hit], links[hit], rows[labels[hit]]
+
+
 def distinct_vectors(rows: DataFrame, vector: str) -> DataFrame:
     """``id, v, copies, first``: a row per usable vector, ``first`` its smallest ``vec_id``; written."""
     one = rows.where(usable(vector)).groupBy(vector).agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
@@ -268,21 +307,26 @@ def links(vectors: DataFrame, least: float = LEAST, part: int = PART) -> DataFra
                 edge[1:] |= c[1:] != c[:-1]
             start = np.append(np.nonzero(edge)[0], t.num_rows)
             ids, copies, parts = (t[c].to_numpy() for c in ("id", "copies", "part"))
-            found = [], [], []
             packed = t["x"].combine_chunks()
             packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
             offset = np.frombuffer(packed.buffers()[1], "<i4")[packed.offset:]
-            for a, b in zip(start[:-1].tolist(), start[1:].tolist()):
-                if b - a < 2:
-                    continue
+            found = []
+            bounds = np.append(start[:-1][np.diff(key[0][start[:-1]], prepend=-1) != 0], t.num_rows)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):  # rows of one dimension
                 d = int(key[0][a])
-                x = np.frombuffer(packed.buffers()[2], kind, (b - a) * d, int(offset[a])).reshape(b - a, d)
-                between = parts[a:b] if key[2][a] != key[3][a] else None
-                got = meet(ids[a:b], copies[a:b], unit(x), int(key[1][a]), _caps(d, blocks, size, least), least, between)
-                for f, g in zip(found, got):
-                    f.append(g)
-            if found[0]:
-                yield pa.record_batch(dict(zip(("id", "links", "root"), (pa.array(np.concatenate(f)) for f in found))))
+                u = unit(np.frombuffer(packed.buffers()[2], kind, (b - a) * d, int(offset[a])).reshape(b - a, d))
+                mine, caps = start[(start >= a) & (start <= b)].tolist(), _caps(d, blocks, size, least)
+                small = []
+                for c, e in zip(mine[:-1], mine[1:]):
+                    between = parts[c:e] if key[2][c] != key[3][c] else None
+                    if between is None and e - c <= BLOCK:
+                        small.append((c - a, e - a))
+                    else:
+                        found.append(meet(ids[c:e], copies[c:e], u[c - a: e - a], int(key[1][c]), caps, least, between))
+                found.append(meet_small(ids[a:b], copies[a:b], u, key[1][a:b], small, caps, least))
+            if found:
+                found = [np.concatenate(f) for f in zip(*found)]
+                yield pa.record_batch(dict(zip(("id", "links", "root"), map(pa.array, found))))
 
         waiting: list[pa.RecordBatch] = []
         for batch in batches:

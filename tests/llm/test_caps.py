@@ -96,6 +96,19 @@ def test_blocks_skip_only_what_met_before():
         ids, links, _ = caps.meet(mine, np.ones(len(mine), np.int64), u[mine], int(c), all_caps, 0.9)
         total[ids] += links
     assert (total == (u @ u.T >= 0.9).sum(1) - 1).all()
+    # many small caps at a time give the same as one by one
+    order = np.lexsort((row, cap))
+    row, cap = row[order], cap[order]
+    keep = np.concatenate([np.nonzero(cap == c)[0][:400] for c in np.unique(cap)[:300]])
+    row, cap = row[keep], cap[keep]
+    edge = np.append(np.nonzero(np.diff(cap, prepend=-1))[0], len(cap)).tolist()
+    groups, one, many = list(zip(edge[:-1], edge[1:])), np.zeros(1500, np.int64), np.zeros(1500, np.int64)
+    for a, b in groups:
+        ids, links, _ = caps.meet(row[a:b], np.ones(b - a, np.int64), u[row[a:b]], int(cap[a]), all_caps, 0.9)
+        one[ids] += links
+    ids, links, _ = caps.meet_small(row, np.ones(len(row), np.int64), u[row], cap, groups, all_caps, 0.9, most=1000)
+    many[ids] += links
+    assert (one == many).all() and one.any()
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])]])
