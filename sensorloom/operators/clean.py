@@ -105,26 +105,35 @@ def remove_outliers_quantile(df: DataFrame, cols: Sequence[str], bottom: float,
     return cut_values_from_dict(df, {c: (st[f"lo|{c}"], st[f"hi|{c}"]) for c in cols})
 
 
-def remove_outliers_esp(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """CLN6: clip at own p0/p99, then cap at ``median + 10·std`` where median and
-    p95 are of the clipped values and std (ddof 1) is over clipped values < p95.
+def esp_bounds(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str, tuple]:
+    """The (p0, p99, cap) of CLN6 per column; the cap is None where there is nothing to work it out from.
 
-    Two aggregate jobs (the second needs the clip bounds of the first).
-    """
+    Two quantile jobs: the second needs the clip bounds of the first."""
     st = _quantiles(df, cols, {"p0": 0.0, "p99": 0.99}, exact)
-    clipped = df.select(*_others(df, cols),
-                        *[clip(c, st[f"p0|{c}"], st[f"p99|{c}"]).alias(c) for c in cols])
+    clipped = df.select(*[clip(c, st[f"p0|{c}"], st[f"p99|{c}"]).alias(c) for c in cols])
     st2 = _quantiles(clipped, cols, {"med": 0.5, "p95": 0.95}, exact)
-    st3 = _stats_row(clipped, {f"sd|{c}": F.stddev_samp(F.when(F.col(c) < F.lit(st2[f"p95|{c}"]),
-                                                                 F.col(c)))
+    st3 = _stats_row(clipped, {f"sd|{c}": F.stddev_samp(F.when(F.col(c) < F.lit(st2[f"p95|{c}"]), F.col(c)))
                                for c in cols if st2[f"p95|{c}"] is not None})
-    caps = {}
+    out = {}
     for c in cols:
         med, sd = st2[f"med|{c}"], st3.get(f"sd|{c}")
-        caps[c] = None if med is None or sd is None else med + 10.0 * sd
-    return clipped.select(*_others(clipped, cols),
-                          *[(F.when(F.col(c) > F.lit(caps[c]), F.lit(caps[c])).otherwise(F.col(c))
-                             if caps[c] is not None else F.col(c)).alias(c) for c in cols])
+        out[c] = (st[f"p0|{c}"], st[f"p99|{c}"], None if med is None or sd is None else med + 10.0 * sd)
+    return out
+
+
+def clip_and_cap(df: DataFrame, bounds: Mapping[str, Sequence]) -> DataFrame:
+    """Columns clipped to the first two of their bounds, and then held to the third where there is one."""
+    out = []
+    for c, (lo, hi, cap) in bounds.items():
+        x = clip(c, lo, hi)
+        out.append((x if cap is None else F.when(x > F.lit(cap), F.lit(cap)).otherwise(x)).alias(c))
+    return df.select(*_others(df, list(bounds)), *out)
+
+
+def remove_outliers_esp(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+    """CLN6: clip at own p0/p99, then cap at ``median + 10·std`` where median and
+    p95 are of the clipped values and std (ddof 1) is over clipped values < p95."""
+    return clip_and_cap(df, esp_bounds(df, cols, exact))
 
 
 def data_imputation(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ from sensorloom.plans.common import ORACLES, QUERIES, finish, register  # noqa:
 def load_all() -> None:
     """Import every query module so its ``@register`` calls run."""
     from sensorloom.plans import timeseries  # noqa: F401
-    for mod in ("cleaning", "windows", "quality", "features", "bundles", "modelling", "expectations",
+    for mod in ("cleaning", "windows", "quality", "features", "bundles", "fitted", "modelling", "expectations",
                 "clustering", "optimisation", "io_queries", "reports"):
         try:
             __import__(f"sensorloom.plans.{mod}")
