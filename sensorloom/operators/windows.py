@@ -19,7 +19,7 @@ joined back to the rows of the bucket.
 
 ``pos`` must be dense (0, 1, 2, … per key with no gaps).  On a complete
 time grid it is arithmetic (:func:`sensorloom.operators.grid.grid_position`);
-otherwise :func:`dense_index` builds it with two aggregates and no global sort.
+otherwise :func:`dense_index` builds it from rows sorted by range.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sensorloom.functions.exprs import epoch_us
+from sensorloom.session import written
 
 DEFAULT_BUCKET_ROWS = 65_536
 
@@ -39,25 +39,28 @@ DEFAULT_BUCKET_ROWS = 65_536
 # --------------------------------------------------------------------------
 
 
-def dense_index(df: DataFrame, keys: Sequence[str], order_col: str, pos_col: str = "pos",
-                coarse_us: int = 86_400 * 1_000_000) -> DataFrame:
-    """0-based row number per key in ``order_col`` order, without one big sort.
+def dense_index(df: DataFrame, keys: Sequence[str], order_col: str, pos_col: str = "pos") -> DataFrame:
+    """0-based row number per key in ``order_col`` order.
 
-    Rows are grouped into coarse time buckets (one day by default); bucket
-    sizes are prefix-summed over the small per-bucket summary and added to a
-    ``row_number`` inside each (key, bucket).  Ties in ``order_col`` get an
-    arbitrary but fixed order — give a unique order column.
+    Rows are sorted by range over the cluster and written with the number of
+    their range; a row's position is its number within (key, range) plus the
+    rows of the key's earlier ranges, so no key and no moment is one task.
+    Rows equal in ``order_col`` follow in the order of a hash of the whole
+    row, the same on every run.
     """
-    cb = F.floor(epoch_us(order_col) / F.lit(coarse_us))
-    d = df.withColumn("_cb", cb)
-    counts = d.groupBy(*keys, "_cb").agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*keys).orderBy("_cb")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    rn = F.row_number().over(Window.partitionBy(*keys, "_cb").orderBy(order_col))
-    out = d.withColumn("_rn", rn).join(offsets.drop("_n"), [*keys, "_cb"])
-    return out.withColumn(pos_col, (F.col("_off") + F.col("_rn") - 1).cast("long")) \
-              .drop("_cb", "_rn", "_off")
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    d = df.withColumn("_tie", tie).repartitionByRange(n, *keys, order_col, "_tie").withColumn("_part", F.spark_partition_id())
+    d = written(d, "ranges")
+    counts = d.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_part").alias("_o_part"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rn = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(order_col, "_tie"))
+    same = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys] + [F.col("_part") == F.col("_o_part")]
+    out = d.withColumn("_rn", rn).join(offsets, same)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_rn") - 1).cast("long").alias(pos_col))
 
 
 # --------------------------------------------------------------------------
@@ -187,10 +190,11 @@ def null_runs(df: DataFrame, keys: Sequence[str], pos_col: str, value_col: str =
     B = int(bucket_rows)
     nn = F.when(F.col(value_col).isNotNull(), F.col(pos_col))
     d = df.withColumn("_b", _bucket(pos_col, B)).withColumn("_nn", nn)
-    w = Window.partitionBy(*keys, "_b").orderBy(pos_col)
+    w, down = (Window.partitionBy(*keys, "_b").orderBy(o) for o in (F.col(pos_col), F.col(pos_col).desc()))
     d = d.select("*",
                  F.last("_nn", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_pi"),
-                 F.first("_nn", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_ni"))
+                 # the next one is the last one seen from the other end: a frame that grows, not one worked out anew for each row
+                 F.last("_nn", True).over(down.rowsBetween(Window.unboundedPreceding, -1)).alias("_ni"))
     summ = d.groupBy(*keys, "_b").agg(F.max("_nn").alias("_mx"), F.min("_nn").alias("_mn"),
                                       F.min(pos_col).alias("_p0"), F.max(pos_col).alias("_p1"))
     wc = Window.partitionBy(*keys).orderBy("_b")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators import cluster as CL
 from sensorloom.operators import joins as J
+from sensorloom.operators.density import density_labels
 from sensorloom.plans.common import SQL_HOURLY, finish, register, sql_r
 from sensorloom.sources import fixtures as FX
 from sensorloom.sources.fixtures import TAGS
@@ -24,10 +25,9 @@ FROM h, s
 """)
 def cluster_scaling(spark, sf_dir):
     """CLU1: standard (ddof 1) and robust (median / IQR) scaling."""
-    h = FX.hourly_wide(spark, sf_dir)
-    z = CL.scale(h, TAGS, "standard").select("ts", *[F.col(t).alias(f"z_{t}") for t in TAGS])
-    r = CL.scale(h, TAGS, "robust").select("ts", *[F.col(t).alias(f"r_{t}") for t in TAGS])
-    return finish(z.join(r, "ts"))
+    h = FX.hourly_wide(spark, sf_dir).select("ts", *[F.col(t).alias(f"{k}_{t}") for t in TAGS for k in "zr"])
+    z = CL.scale(h, [f"z_{t}" for t in TAGS], "standard")
+    return finish(CL.scale(z, [f"r_{t}" for t in TAGS], "robust"))
 
 
 def _kl_sql() -> str:
@@ -108,3 +108,36 @@ def cluster_sweep(spark, sf_dir):
                                               [f"pc_{i + 1}" for i in range(k)], [f"raw_{t}" for t in MVARS], grid)
     return finish(table.withColumn("chosen", (F.col("algo") == algo) & (F.col("k") == kbest))
                   .withColumn("n_components", F.lit(k)))
+
+
+RADIUS, SAMPLES, SMALLEST = 3.5, 6, 15
+
+
+@register("density_clusters", f"""WITH RECURSIVE h AS ({SQL_HOURLY}),
+p AS (SELECT ts, click, view FROM h WHERE click IS NOT NULL AND view IS NOT NULL),
+near AS MATERIALIZED (SELECT a.ts AS a, b.ts AS b, (a.click - b.click) ** 2 + (a.view - b.view) ** 2 AS far FROM p a JOIN p b
+  ON (a.click - b.click) ** 2 + (a.view - b.view) ** 2 <= {RADIUS ** 2}),
+core AS MATERIALIZED (SELECT a AS ts FROM near GROUP BY a HAVING count(*) >= {SAMPLES}),
+links AS MATERIALIZED (SELECT n.a, n.b, n.far FROM near n JOIN core c ON n.b = c.ts),
+reach AS (SELECT ts AS a, ts AS b FROM core UNION SELECT r.a, l.a FROM reach r JOIN links l ON r.b = l.b JOIN core c ON l.a = c.ts),
+root AS (SELECT a AS ts, min(b) AS root FROM reach GROUP BY a),
+lab AS (SELECT l.a AS ts, arg_min(r.root, (l.far, q.click, q.view)) AS root FROM links l JOIN root r ON l.b = r.ts JOIN p q ON q.ts = l.b GROUP BY l.a),
+sizes AS (SELECT root, count(*) AS n, min((p.click, p.view)) AS least FROM lab JOIN p USING (ts) GROUP BY root HAVING count(*) >= {SMALLEST}),
+numbers AS (SELECT root, row_number() OVER (ORDER BY n DESC, least) AS k FROM sizes)
+SELECT h.ts, CAST(coalesce(k, 0) AS INTEGER) AS cluster FROM h LEFT JOIN lab USING (ts) LEFT JOIN numbers USING (root)
+""")
+def density_clusters(spark, sf_dir):
+    """CLU2: density labels with noise of the hourly table by two sensors."""
+    h = FX.hourly_wide(spark, sf_dir)
+    return finish(density_labels(h, CVARS, RADIUS, SAMPLES, SMALLEST).select("ts", "cluster"))
+
+
+@register("density_sweep")
+def density_sweep(spark, sf_dir):
+    """CLU2 with noise, its growth loop, CLU3 scores and the TOP3 choice, of every setting tried."""
+    h = FX.hourly_wide(spark, sf_dir).na.drop(subset=CVARS + MVARS)
+    z = CL.scale(h, CVARS, "standard").select("ts", *CVARS, *MVARS)
+    scores, chosen, _ = CL.find_density_model(z, CVARS, MVARS, radius=0.3, init_share=0.04, trials=3, min_clusters=2, max_clusters=6)
+    keys = ["round", "min_cluster_size", "min_samples"]
+    flag = scores.select(*keys, F.lit(False).alias("chosen")).limit(0) if chosen is None else chosen.select(*keys, F.lit(True).alias("chosen"))
+    return finish(scores.join(flag, keys, "left").withColumn("chosen", F.coalesce("chosen", F.lit(False))))
