@@ -14,7 +14,6 @@
 
 from __future__ import annotations
 
-import itertools
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -44,8 +43,7 @@ def split_by_date(df: DataFrame, ts_col: str, split: datetime) -> dict[str, Data
 def split_by_frac(df: DataFrame, ts_col: str, train_fraction: float) -> dict[str, DataFrame]:
     """ML2: first ``int(n · f)`` rows in time order are train, the rest test.
 
-    The row position comes from :func:`dense_index` (per-day counts +
-    prefix sums), so no single task sorts the table.
+    The row position comes from :func:`dense_index`, so no single task sorts the table.
     """
     n = df.count()
     cut = int(n * train_fraction)
@@ -91,15 +89,6 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (
                     "mean_true", "mean_pred")
 
 
-def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """ML16: Pearson correlation matrix in long form ``(var_a, var_b, corr)``,
-    all pairs in one aggregate pass."""
-    pairs = list(itertools.product(cols, cols))
-    row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    args = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
-    return row.selectExpr(f"stack({len(pairs)}, {args}) AS (var_a, var_b, corr)")
-
-
 # ------------------------------------------------------------------ models
 REGRESSORS = {"gbt": GBTRegressor, "rf": RandomForestRegressor, "linear": LinearRegression}
 

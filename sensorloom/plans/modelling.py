@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from sensorloom.operators import gram as G
 from sensorloom.operators import ml as M
 from sensorloom.operators import windows as W
-from sensorloom.plans.common import SQL_HOURLY, finish, register, sql_r
+from sensorloom.plans.common import SQL_HOURLY, finish, register, round_digits, sql_r
 from sensorloom.sources import fixtures as FX
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -120,8 +121,8 @@ WITH r AS (SELECT l_quantity, l_discount, l_tax, {Y_SQL} AS y FROM lineitem)
                     for a in _CORR_COLS for b in _CORR_COLS)}
 """)
 def correlation_matrix(spark, sf_dir):
-    """ML16: Pearson correlation of features and target (one aggregate)."""
-    return finish(M.correlation(FX.regression_table(spark, sf_dir), _CORR_COLS))
+    """ML16: Pearson correlation of features and target."""
+    return finish(G.correlation(FX.regression_table(spark, sf_dir), _CORR_COLS))
 
 
 @register("model_fit_importance")
@@ -159,3 +160,56 @@ def tuned_models_per_unit(spark, sf_dir):
     tuned = res.groupBy().agg(F.avg("rmse").alias("rmse")).select(
         F.lit("tuned_gbt").alias("unit"), F.lit(None).cast("double").alias("r2"), "rmse")
     return finish(out.unionByName(tuned))
+
+
+WIDE, GAP = 60, 7
+
+
+def _wide_sql() -> str:
+    return f"""WITH w AS (SELECT vec_id, k, CASE WHEN (vec_id + k) % {GAP} <> 0 THEN CAST(e AS DOUBLE) + k END AS x
+  FROM (SELECT vec_id, unnest(range(0, {WIDE})) AS k, unnest(embedding[1:{WIDE}]) AS e FROM embeddings))
+SELECT 'e' || a.k AS var_a, 'e' || b.k AS var_b, {sql_r("corr(a.x, b.x)")} AS corr
+FROM w a JOIN w b ON a.vec_id = b.vec_id WHERE a.x IS NOT NULL AND b.x IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("wide_correlation", _wide_sql())
+def wide_correlation(spark, sf_dir):
+    """ML16: all pairs of 60 columns with gaps, each over its own complete rows."""
+    cells = [F.expr(f"CASE WHEN (vec_id + {k}) % {GAP} <> 0 THEN CAST(embedding[{k}] AS DOUBLE) + {k} END").alias(f"e{k}") for k in range(WIDE)]
+    return finish(G.correlation(FX.table(spark, sf_dir, "embeddings").select(*cells), [f"e{k}" for k in range(WIDE)]))
+
+
+def _units_sql() -> str:
+    pairs = {"11": ("x1", "x1"), "12": ("x1", "x2"), "22": ("x2", "x2"), "1y": ("x1", "y"), "2y": ("x2", "y"), "yy": ("y", "y")}
+    sums = ", ".join(f"sum({c}) AS s_{c}" for c in ("x1", "x2", "y")) + ", " + ", ".join(f"sum({a} * {b}) AS p{n}" for n, (a, b) in pairs.items())
+    names = ["n", "s_x1", "s_x2", "s_y", *[f"p{n}" for n in pairs]]
+    prefix = ", ".join(f"sum({c}) OVER (PARTITION BY unit ORDER BY fold ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS t_{c}" for c in names)
+    around = lambda p, a, b: f"({p} - {a} * {b} / t_n)"
+    c11, c12, c22, c1y, c2y = (around(p, a, b) for p, a, b in (("t_p11", "t_s_x1", "t_s_x1"), ("t_p12", "t_s_x1", "t_s_x2"), ("t_p22", "t_s_x2", "t_s_x2"),
+                                                              ("t_p1y", "t_s_x1", "t_s_y"), ("t_p2y", "t_s_x2", "t_s_y")))
+    sse = ("(pyy - 2 * (b0 * s_y + b1 * p1y + b2 * p2y) + b0 * b0 * n + b1 * b1 * p11 + b2 * b2 * p22"
+           " + 2 * (b0 * b1 * s_x1 + b0 * b2 * s_x2 + b1 * b2 * p12))")
+    return f"""WITH r AS (SELECT l_suppkey AS unit, l_orderkey * 10 + l_linenumber AS o, l_quantity AS x1, l_discount * 100.0 AS x2,
+  3.0 * l_quantity - 40.0 * l_discount + ((l_partkey % 7) - 3) / 10.0 + (l_suppkey % 5) AS y FROM lineitem),
+p AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY o) - 1 AS pos, count(*) OVER (PARTITION BY unit) AS m
+  FROM (SELECT unit, o, min(x1) AS x1, min(x2) AS x2, min(y) AS y FROM r GROUP BY 1, 2)),
+f AS (SELECT unit, x1, x2, y, CASE WHEN m // 6 = 0 OR pos < m - 5 * (m // 6) THEN -1 ELSE (pos - (m - 5 * (m // 6))) // (m // 6) END AS fold FROM p),
+g AS (SELECT unit, fold, count(*)::DOUBLE AS n, {sums} FROM f GROUP BY 1, 2),
+t AS (SELECT *, {prefix} FROM g),
+a AS (SELECT unit, CAST(fold AS INTEGER) AS fold, {", ".join(names)}, {", ".join("t_" + c for c in names)} FROM t WHERE fold >= 0
+  UNION ALL SELECT unit, NULL, {", ".join(f"sum({c})" for c in names)}, {", ".join(f"sum({c})" for c in names)} FROM g GROUP BY unit),
+b AS (SELECT *, ({c22} * {c1y} - {c12} * {c2y}) / ({c11} * {c22} - {c12} * {c12}) AS b1, ({c11} * {c2y} - {c12} * {c1y}) / ({c11} * {c22} - {c12} * {c12}) AS b2 FROM a),
+d AS (SELECT *, (t_s_y - b1 * t_s_x1 - b2 * t_s_x2) / t_n AS b0 FROM b)
+SELECT unit, fold, CAST(t_n AS BIGINT) AS n_train, CAST(n AS BIGINT) AS n_test, {sql_r("b0", 4)} AS b0, {sql_r("b1", 4)} AS b1, {sql_r("b2", 4)} AS b2,
+  {sql_r(f"sqrt(greatest(0.0, {sse}) / n)", 3)} AS rmse FROM d"""
+
+
+@register("linear_units", _units_sql())
+def linear_units(spark, sf_dir):
+    """ML17: a linear model per supplier and time block in one scan, solved and scored from sums of products."""
+    li = FX.table(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_suppkey").alias("unit"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"), F.col("l_quantity").alias("x1"),
+                     (F.col("l_discount") * 100.0).alias("x2"), F.expr("3.0D * l_quantity - 40.0D * l_discount + ((l_partkey % 7) - 3) / 10.0D + (l_suppkey % 5)").alias("y"))
+    out = G.linear_per_unit(rows.groupBy("unit", "o").agg(*[F.min(c).alias(c) for c in ("x1", "x2", "y")]), "unit", "o", ["x1", "x2"], "y")
+    b = F.col("coefficients")
+    return out.select("unit", "fold", "n_train", "n_test", *[round_digits(b[k], 4).alias(f"b{k}") for k in range(3)], round_digits(F.col("rmse"), 3).alias("rmse"))

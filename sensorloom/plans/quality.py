@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sensorloom.operators import quality as Q
@@ -211,7 +213,7 @@ def qa_screen(spark, sf_dir):
 
 
 @register("tag_dictionary_checks", f"""
-WITH obs AS (SELECT DISTINCT event_type AS tag FROM events),
+WITH RECURSIVE obs AS (SELECT DISTINCT event_type AS tag FROM events),
 {_dict_cols_sql()},
 v AS (
   SELECT 'pattern' AS rule, tag, 'contains a comma' AS detail FROM obs WHERE tag LIKE '%,%'
@@ -220,13 +222,13 @@ v AS (
    WHERE tag_type NOT IN ('input','output','state','control','on_off','reaction')
   UNION ALL
   SELECT 'observed_not_in_dictionary', tag, NULL FROM obs WHERE tag NOT IN (SELECT tag FROM td)),
-closure(tag, dependency) AS (VALUES ('click','pump_on'), ('click','line_on'), ('view','pump_on'),
-                                    ('view','line_on'), ('pump_on','line_on'))
+edges(tag, dependency) AS (VALUES ('click','pump_on'), ('view','pump_on'), ('pump_on','line_on')),
+closure(tag, dependency) AS (SELECT * FROM edges UNION SELECT c.tag, e.dependency FROM closure c JOIN edges e ON e.tag = c.dependency)
 SELECT 'closure' AS rule, o.tag, c.dependency AS detail FROM obs o JOIN closure c USING (tag)
 UNION ALL SELECT * FROM v
 """)
 def tag_dictionary_checks(spark, sf_dir):
-    """QC1 validation, QC2 dependency closure (recursive CTE), QC3 add, SET4
+    """QC1 validation, QC2 dependency closure, QC3 add, SET4
     set difference — applied to the tags observed in the events table."""
     td = FX.tag_dictionary(spark)
     obs = FX.events(spark, sf_dir).select(F.col("event_type").alias("tag")).distinct()
@@ -243,6 +245,32 @@ def tag_dictionary_checks(spark, sf_dir):
     return finish(out)
 
 
+@register("tag_dependencies", """
+WITH RECURSIVE edges AS (
+  SELECT 's' || s_suppkey AS tag, 's' || (s_suppkey // 3) AS dependency FROM supplier
+  UNION SELECT 's' || s_suppkey, 's' || (s_suppkey * 7 % 31) FROM supplier WHERE s_suppkey % 4 = 0
+  UNION SELECT 's' || (s_suppkey // 3), 's' || s_suppkey FROM supplier WHERE s_suppkey % 17 = 0),
+r AS (SELECT * FROM edges UNION SELECT r.tag, e.dependency FROM r JOIN edges e ON e.tag = r.dependency),
+n AS (SELECT dependency AS tag, count(*) AS n_dependents FROM r GROUP BY 1)
+SELECT tag, count(*) AS n_dependencies, coalesce(max(n_dependents), 0) AS n_dependents, bool_or(tag = dependency) AS in_cycle,
+       min(dependency) AS first, max(dependency) AS last
+FROM r LEFT JOIN n USING (tag) GROUP BY tag
+""")
+def tag_dependencies(spark, sf_dir):
+    """QC2 on a dictionary of all suppliers with chains and cycles: dependencies, dependents and cycles of every tag."""
+    s = FX.table(spark, sf_dir, "supplier").select("s_suppkey")
+    def tag(e):
+        return F.concat(F.lit("s"), F.expr(e).cast("string"))
+    rules = [("s_suppkey", "s_suppkey div 3", "true"), ("s_suppkey", "s_suppkey * 7 % 31", "s_suppkey % 4 = 0"), ("s_suppkey div 3", "s_suppkey", "s_suppkey % 17 = 0")]
+    rows = reduce(lambda a, b: a.unionByName(b), [s.where(when).select(tag(a).alias("tag"), tag(b).alias("dep")) for a, b, when in rules])
+    td = rows.groupBy("tag").agg(F.collect_set("dep").alias("on_off_dependencies"))
+    closure = TG.dependency_closure(td)
+    number = TG.dependents(closure).groupBy("tag").agg(F.count(F.lit(1)).alias("n_dependents"))
+    out = closure.groupBy("tag").agg(F.count(F.lit(1)).alias("n_dependencies"), F.bool_or(F.col("tag") == F.col("dependency")).alias("in_cycle"),
+                                     F.min("dependency").alias("first"), F.max("dependency").alias("last"))
+    return finish(out.join(number, "tag", "left").withColumn("n_dependents", F.coalesce("n_dependents", F.lit(0).cast("long"))))
+
+
 @register("tag_lookups", f"""
 WITH obs AS (SELECT event_type AS tag, count(*) AS n_rows FROM events GROUP BY 1)
 SELECT o.tag, o.n_rows,
