@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.exprs import safe_div
 from sensorloom.operators.windows import dense_index
+from sensorloom.session import written
 
 
 # ------------------------------------------------------------------ splits
@@ -132,45 +134,55 @@ def feature_importance(model: PipelineModel, features: Sequence[str], spark, top
 
 
 def sample_params(space: Mapping[str, Sequence], draws: int, seed: int = 0) -> list[dict]:
-    """Random-search draws from a discrete space (deterministic by seed)."""
-    rng = random.Random(seed)
+    """Random-search draws from a discrete space, none twice (deterministic by seed); at most the whole space."""
     keys = sorted(space)
-    return [{k: rng.choice(list(space[k])) for k in keys} for _ in range(draws)]
+    every = [dict(zip(keys, v)) for v in itertools.product(*[list(space[k]) for k in keys])]
+    return random.Random(seed).sample(every, min(draws, len(every)))
 
 
 def tune(df: DataFrame, ts_col: str, features: Sequence[str], target: str, kind: str,
-         space: Mapping[str, Sequence], draws: int = 10, n_splits: int = 5, seed: int = 0,
+         space: Mapping[str, Sequence], draws: int = 300, n_splits: int = 5, seed: int = 0,
          threads: int = 4) -> tuple[PipelineModel, DataFrame]:
     """ML5/ML6: random search with an expanding time split, refit on all rows by RMSE.
 
-    Returns ``(best model, results (draw, params, fold, rmse))``.  The
-    (draw, fold) fits are independent and run concurrently from a bounded
-    thread pool; each is a distributed MLlib fit.  The fold table is
-    persisted once so folds do not recompute the input.
+    Returns ``(best model, results (draw, params, fold, rmse))``.  Draws that
+    differ only in the number of boosting rounds share one fit of the longest: a
+    model's first trees are those of a shorter one, so all lengths are scored from it in
+    one pass.  The (group, fold) fits run concurrently from a bounded thread pool;
+    each is a distributed MLlib fit on the written fold table.  A draw that no
+    fold could score never wins.
     """
-    folded = time_folds(df, ts_col, n_splits).persist()
+    folded = written(time_folds(df, ts_col, n_splits), "folds")
     draws_p = sample_params(space, draws, seed)
-    tasks = [(i, p, k) for i, p in enumerate(draws_p) for k in range(n_splits)]
-
-    def run(t):
-        i, p, k = t
-        train = folded.where(F.col("fold") < k)
-        test = folded.where(F.col("fold") == k)
-        m = fit(train, features, target, load_regressor(kind, **p))
-        r = regression_metrics(predict(m, test), target, "prediction").first()
-        return (i, str(p), k, float(r["rmse"]) if r["rmse"] is not None else None)
+    groups: dict[tuple, list[int]] = {}
+    for i, p in enumerate(draws_p):
+        rest = tuple(sorted((k, v) for k, v in p.items() if kind != "gbt" or k != "maxIter"))
+        groups.setdefault(rest, []).append(i)
+
+    def run(task: tuple[tuple, int]) -> list[tuple]:
+        rest, k = task
+        mine = groups[rest]
+        longest = max(mine, key=lambda i: draws_p[i].get("maxIter", 0))
+        train, test = folded.where(F.col("fold") < k), folded.where((F.col("fold") == k) & F.col(target).isNotNull())
+        model = fit(train.where(F.col(target).isNotNull()), features, target, load_regressor(kind, **draws_p[longest]))
+        if kind == "gbt":
+            vectors = PipelineModel(model.stages[:-1]).transform(test.withColumn("label", F.col(target).cast("double")))
+            mse = [] if vectors.isEmpty() else model.stages[-1].evaluateEachIteration(vectors, "squared")
+            rmse = {i: mse[draws_p[i].get("maxIter", len(mse)) - 1] ** 0.5 if mse else None for i in mine}
+        else:
+            r = regression_metrics(predict(model, test), target, "prediction").first()
+            rmse = {i: r["rmse"] for i in mine}
+        return [(i, str(draws_p[i]), k, rmse[i]) for i in mine]
 
     with ThreadPoolExecutor(max_workers=threads) as ex:
-        res = list(ex.map(run, tasks))
-    spark = df.sparkSession
-    results = spark.createDataFrame(res, "draw int, params string, fold int, rmse double")
+        res = [r for part in ex.map(run, itertools.product(groups, range(n_splits))) for r in part]
+    results = df.sparkSession.createDataFrame(sorted(res, key=lambda r: (r[0], r[2])), "draw int, params string, fold int, rmse double")
 
-    def mean_rmse(i):
+    def mean_rmse(i: int) -> float:
         got = [r[3] for r in res if r[0] == i and r[3] is not None]
-        return sum(got) / len(got) if got else float("inf")  # a draw that no fold could score never wins
+        return sum(got) / len(got) if got else float("inf")
     best_i = min(range(len(draws_p)), key=mean_rmse)
-    best = fit(folded, features, target, load_regressor(kind, **draws_p[best_i]))
-    folded.unpersist()
+    best = fit(folded.where(F.col(target).isNotNull()), features, target, load_regressor(kind, **draws_p[best_i]))
     return best, results
 
 

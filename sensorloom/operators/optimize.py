@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorloom.session import written
@@ -27,14 +27,14 @@ Objective = Callable[[DataFrame], DataFrame]
 def models_objective(models: Mapping[str, object], combine: str = "sum",
                      alpha: float = 0.5, solids: Sequence[str] = ()) -> Objective:
     """OPT1–OPT3: chain model predictions; ``sum`` (throughput) or
-    ``mean − α·mean(solids)`` (torque)."""
+    ``mean − α·mean(solids)`` (torque).  All models score a row in one stage, without
+    a shuffle; each sees the predictions ``pred_<name>`` of those before it."""
     def obj(df: DataFrame) -> DataFrame:
         d = df
         outs = []
         for name, m in models.items():
             p = m.transform(d)
-            keep = [c for c in p.columns if not c.startswith("_imp_") and c not in ("features", "label")]
-            d = p.select(*keep).withColumnRenamed("prediction", f"pred_{name}")
+            d = p.select(*d.columns, F.col("prediction").alias(f"pred_{name}"))
             outs.append(F.col(f"pred_{name}"))
         total = sum(outs, F.lit(0.0))
         if combine == "sum":
@@ -135,6 +135,37 @@ def sensitivity(states: DataFrame, ranges: DataFrame, objective: Objective,
     return out
 
 
+def control_limits(td: DataFrame) -> DataFrame:
+    """OPT16: ``tag, lo, hi`` — the operating range, where one end is missing the physical range; tags without one, or with an empty one, go."""
+    both = F.col("op_min").isNotNull() & F.col("op_max").isNotNull()
+    lo, hi = (F.when(both, F.col(f"op_{e}")).otherwise(F.col(f"range_{e}")) for e in ("min", "max"))
+    return td.select("tag", lo.alias("lo"), hi.alias("hi")).where("lo < hi")
+
+
+def model_sensitivity(states: DataFrame, limits: DataFrame, predict: Objective, points: int = 50, ts_col: str = "ts") -> DataFrame:
+    """OPT16: ``variable, value, ts, target`` — every row of ``states`` with each variable of ``limits`` at ``points`` values over its
+    range, both ends included, scored by ``predict`` (adds ``objective``).
+
+    One pass for all variables: a row is exploded over the variables' values and scored once."""
+    rows = limits.collect()  # one row a variable
+    if not rows:
+        raise ValueError("no variable has a range")
+    cells = F.flatten(F.array(*[_cells(r.tag, r.lo, r.hi, points) for r in rows]))
+    e = states.withColumn("_c", F.explode(cells))
+    e = e.withColumns({r.tag: F.when(F.col("_c.variable") == r.tag, F.col("_c.value")).otherwise(F.col(r.tag)) for r in rows})
+    return predict(e).select(F.col("_c.variable").alias("variable"), F.col("_c.value").alias("value"), ts_col, F.col("objective").alias("target"))
+
+
+def _cells(tag: str, lo: float, hi: float, points: int) -> Column:
+    return F.transform(linspace(F.lit(float(lo)), F.lit(float(hi)), points), lambda v: F.struct(F.lit(tag).alias("variable"), v.alias("value")))
+
+
+def sensitivity_pivot(curves: DataFrame, stamps: Sequence, ts_col: str = "ts") -> DataFrame:
+    """OPT16: one row per variable and value, one column ``t1, t2, …`` per listed time."""
+    cols = [F.max(F.when(F.col(ts_col) == F.lit(t).cast("timestamp_ntz"), F.col("target"))).alias(f"t{k + 1}") for k, t in enumerate(stamps)]
+    return curves.groupBy("variable", "value").agg(*cols)
+
+
 def what_if(states: DataFrame, overrides: Mapping[str, float], objective: Objective) -> DataFrame:
     """OPT17: override some state/control values and re-score."""
     d = states.select(*[c for c in states.columns if c not in overrides],
@@ -291,9 +322,13 @@ def uplift(records: DataFrame, actual: DataFrame | None = None, run_col: str = "
     return d
 
 
-def context_rows(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
-                 window: int) -> Column:
-    """OPT18: the ``w − 1`` rows before each row as ``ARRAY<STRUCT>`` (bounded frame)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(-(window - 1), -1)
-    return F.collect_list(F.struct(*cols)).over(w)
+def objective_sheet(up: DataFrame, models: Sequence[str] = ()) -> DataFrame:
+    """OPT13: one row per run time: the models' predictions (columns ``pred_<model>`` where given), the target as it is and as
+    suggested, and ``uplift_pred`` in percent of the target as it is (NULL where that is 0)."""
+    return up.select("ts", *[f"pred_{m}" for m in models], F.col("objective_current").alias("target_pred_current"),
+                     F.col("objective_suggested").alias("target_pred_optimized"), F.col("uplift_pred_pct").alias("uplift_pred"))
+
+
+def context_rows(cols: Sequence[str], window: int, w: WindowSpec) -> Column:
+    """OPT18: the ``window − 1`` rows before each row as ``ARRAY<STRUCT>``, oldest first; for use in a halo pass (``windows.positional``)."""
+    return F.collect_list(F.struct(*cols)).over(w.rowsBetween(-(window - 1), -1))
