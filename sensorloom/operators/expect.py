@@ -99,18 +99,16 @@ def level_shift(long_pos: DataFrame, keys: Sequence[str], window: int, factor: f
                 side: str = "both", bucket_rows: int = W.DEFAULT_BUCKET_ROWS) -> DataFrame:
     """WIN11/QC15: ``median(next w) − median(previous w)`` beyond ``factor × IQR``
     of that difference series (signed by ``side``)."""
-    d = W.positional(long_pos, keys, "pos", lambda w: {
-        "_diff": W.rolling_median("value", 0, window - 1, w) - W.rolling_median("value", -window, -1, w)},
-        back=window, fwd=window - 1, bucket_rows=bucket_rows)
+    d = W.rolling_medians(long_pos, keys, "pos", "value", {"_next": (0, window - 1), "_past": (-window, -1)}, bucket_rows)
+    d = d.withColumn("_diff", F.col("_next") - F.col("_past")).drop("_next", "_past")
     return _iqr_flag(d, keys, "_diff", factor, side).withColumnRenamed("_diff", "shift")
 
 
 def persist_shift(long_pos: DataFrame, keys: Sequence[str], window: int, factor: float = 6.0,
                   side: str = "both", bucket_rows: int = W.DEFAULT_BUCKET_ROWS) -> DataFrame:
     """WIN12/QC15: ``x − median(previous w)`` beyond ``factor × IQR`` of that series."""
-    d = W.positional(long_pos, keys, "pos", lambda w: {
-        "_diff": F.col("value") - W.rolling_median("value", -window, -1, w)},
-        back=window, bucket_rows=bucket_rows)
+    d = W.rolling_medians(long_pos, keys, "pos", "value", {"_past": (-window, -1)}, bucket_rows)
+    d = d.withColumn("_diff", F.col("value") - F.col("_past")).drop("_past")
     return _iqr_flag(d, keys, "_diff", factor, side).withColumnRenamed("_diff", "shift")
 
 
@@ -164,19 +162,23 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 50, samp
     """QC17: isolation-forest score ``2^(−E[h]/c(ψ))`` per row, anomalous above the
     ``1 − contamination`` quantile of the scores.
 
-    Each tree draws about ``sample`` rows of the whole table by a seeded hash of
-    the row and the tree, and is grown in a task of its own; the trees (bounded
+    Each tree draws about ``sample`` rows of the whole table: a vector that n rows
+    have is drawn ``n * sample / rows`` times, rounded up or down by a seeded hash of
+    the vector and the tree, so that hot vectors stay within the bound.  A tree is grown in a task of its own; the trees (bounded
     by ``n_trees`` and ``sample``) go to all tasks, which walk them level by level
     for a batch of rows at once.  Rows with a NULL sensor stay, with NULL score
     and anomaly.  Not number-for-number equal to other libraries' forests.
     """
     x = [F.col(c).cast("double") for c in cols]
     whole = reduce(lambda a, b: a & b, [c.isNotNull() & ~F.isnan(c) for c in x])
-    vectors = df.where(whole).select(F.array(*x).alias("x"))
-    n = vectors.count()
+    # equal rows are one vector with a weight: a vector that a third of the rows have gets a third of each tree's draws
+    vectors = written(df.where(whole).select(F.array(*x).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")), "vectors")
+    n = vectors.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     share = min(1.0, sample / max(n, 1))
-    draw = F.pmod(F.xxhash64(F.col("x"), F.col("tree"), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
-    drawn = vectors.select("x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")).where(draw)
+    seat = F.pmod(F.xxhash64(F.col("x"), F.col("tree"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = vectors.select("x", "n", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+    drawn = drawn.select("x", "tree", F.floor(F.col("n") * share + seat).cast("int").alias("times")).where("times > 0")
+    drawn = drawn.select("tree", F.explode(F.array_repeat("x", F.col("times"))).alias("x"))
     depth = int(np.ceil(np.log2(max(sample, 2))))
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:

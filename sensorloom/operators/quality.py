@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions.exprs import MICROS_PER_SECOND, epoch_us
 from sensorloom.operators import windows as W
 from sensorloom.operators.quantiles import running_counts
+from sensorloom.session import written
 
 # Thresholds of the quality table flags (strict comparisons).
 QA_THRESHOLDS = {"mean": 90, "max_null_window": 3600, "kurtosis": 200,
@@ -42,23 +43,26 @@ def concentration(long: DataFrame, top_n: int = 3, digits: int = 4) -> DataFrame
     half-even to ``digits``, and the share (%) of all rows held by the ``top_n``
     most frequent raw values (NULLs never form a mode but count in the base).
 
-    The top-n uses one ``groupBy(tag, value).count`` (pre-aggregated) and a
-    ``row_number`` per tag over distinct values, not over rows.
+    Values are counted once.  The top-n is taken in parts of a tag's values, dealt by
+    hash, and then among the parts' winners; distinct rounded values are rows of
+    an aggregate, which are counted.  So no task sees all values of a tag.
     """
-    base = long.groupBy("tag").agg(
-        F.kurtosis("value").alias("kurtosis"),
-        F.count_distinct(F.bround("value", digits)).alias("count_unique"),
-        F.count(F.lit(1)).alias("_rows"))
-    vc = long.where(F.col("value").isNotNull()).groupBy("tag", "value").agg(
-        F.count(F.lit(1)).alias("_n"))
-    rn = F.row_number().over(Window.partitionBy("tag").orderBy(F.col("_n").desc(), F.col("value")))
-    top = vc.withColumn("_r", rn).where(F.col("_r") <= top_n).groupBy("tag").agg(
-        F.sum("_n").alias("_top"))
-    j = base.join(top, "tag", "left")
+    spark = long.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    vc = written(long.groupBy("tag", "value").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    base = long.groupBy("tag").agg(F.kurtosis("value").alias("kurtosis"), F.count(F.lit(1)).alias("_rows"))
+    there = vc.where(F.col("value").isNotNull())
+    unique = there.groupBy("tag", F.bround("value", digits).alias("_v")).agg(F.lit(1).alias("_one")).groupBy("tag").agg(F.count(F.lit(1)).alias("count_unique"))
+    order = [F.col("_n").desc(), F.col("value")]
+    dealt = there.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    near = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("tag", "_part").orderBy(*order))).where(F.col("_r") <= top_n)
+    won = near.withColumn("_r", F.row_number().over(Window.partitionBy("tag").orderBy(*order))).where(F.col("_r") <= top_n)
+    top = won.groupBy("tag").agg(F.sum("_n").alias("_top"))
+    j = base.join(top, "tag", "left").join(unique, "tag", "left")
     return j.select("tag", "kurtosis",
                     (F.lit(100.0) * F.coalesce(F.col("_top"), F.lit(0)) / F.col("_rows"))
                     .alias("pct_n_most_common"),
-                    "count_unique")
+                    F.coalesce("count_unique", F.lit(0).cast("long")).alias("count_unique"))
 
 
 def ks_windows(spark, start, end, step_days: int = 28, base_days: int = 56,
@@ -85,7 +89,7 @@ def ks_stability(long: DataFrame, windows: DataFrame, ts_col: str = "ts",
     covers a bounded number of days), values are pre-counted per
     (tag, window, value, sample), and ``D = max |F1 − F2|`` is read at the end
     of each tie group from running sums over sorted value ranges.
-    Returns ``(tag, start_date, end_date, ks, n1, n2, is_unstable)``.
+    Returns ``(tag, start_date, end_date, ks, n1, n2, is_unstable, p_value)``.
     """
     day = 86_400 * MICROS_PER_SECOND
     w = windows.select(
@@ -108,16 +112,17 @@ def ks_stability(long: DataFrame, windows: DataFrame, ts_col: str = "ts",
     ks = vc.where((F.col("n1") > 0) & (F.col("n2") > 0)).groupBy(*key).agg(
         F.max(diff).alias("ks"), F.first("n1").alias("n1"), F.first("n2").alias("n2"))
     return ks.select("tag", F.col("start1").alias("start_date"), F.col("end2").alias("end_date"),
-                     "ks", "n1", "n2", (F.col("ks") >= unstable_d).cast("int").alias("is_unstable"))
+                     "ks", "n1", "n2", (F.col("ks") >= unstable_d).cast("int").alias("is_unstable"), ks_pvalue().alias("p_value"))
 
 
 def ks_pvalue(ks_col: str = "ks", n1: str = "n1", n2: str = "n2", terms: int = 100):
     """Asymptotic two-sided KS p-value (Kolmogorov series), as a Column."""
     en = F.sqrt(F.col(n1) * F.col(n2) / (F.col(n1) + F.col(n2)))
     lam = (en + F.lit(0.12) + F.lit(0.11) / en) * F.col(ks_col)
-    series = reduce(lambda a, b: a + b, [
-        F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
-        for k in range(1, terms + 1)])
+    term = lambda k: F.lit(2.0) * F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(F.lit(-2.0) * k * k * lam * lam)
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0), lambda t, k: t + term(k))
+    # the series does not converge for equal samples
+    series = F.when(lam < 0.04, F.lit(1.0)).otherwise(series)
     return F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
 
 

@@ -80,6 +80,12 @@ def qa_concentration(spark, sf_dir):
     return finish(Q.concentration(_long(spark, sf_dir)))
 
 
+_EN = "sqrt(max(n1)::DOUBLE * max(n2) / (max(n1) + max(n2)))"
+_LAMBDA = f"(({_EN} + 0.12 + 0.11 / {_EN}) * max(abs(ca / n1 - cb / n2)))"
+_P_VALUE = (f"CASE WHEN {_LAMBDA} < 0.04 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101), "
+            f"lambda k: 2.0 * CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0 * k * k * {_LAMBDA} * {_LAMBDA}))), 0.0), 1.0) END")
+
+
 def _ks_sql() -> str:
     return f"""
 WITH {SQL_TEN_LONG},
@@ -106,7 +112,8 @@ c AS (SELECT tag, start1, end2,
 SELECT tag, start1 AS start_date, end2 AS end_date,
        {sql_r('max(abs(ca / n1 - cb / n2))')} AS ks, CAST(max(n1) AS BIGINT) AS n1,
        CAST(max(n2) AS BIGINT) AS n2,
-       CAST(max(abs(ca / n1 - cb / n2)) >= 0.5 AS INTEGER) AS is_unstable
+       CAST(max(abs(ca / n1 - cb / n2)) >= 0.5 AS INTEGER) AS is_unstable,
+       {sql_r(_P_VALUE)} AS p_value
 FROM c WHERE n1 > 0 AND n2 > 0 GROUP BY 1, 2, 3
 """
 
@@ -119,7 +126,7 @@ def qa_ks(spark, sf_dir):
     ks = Q.ks_stability(long, _ks_windows(spark, long))
     return finish(ks.select("tag", "start_date", "end_date", "ks",
                             F.col("n1").cast("long").alias("n1"),
-                            F.col("n2").cast("long").alias("n2"), "is_unstable"))
+                            F.col("n2").cast("long").alias("n2"), "is_unstable", "p_value"))
 
 
 def _dict_cols_sql() -> str:

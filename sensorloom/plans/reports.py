@@ -253,4 +253,4 @@ def attribution(spark, sf_dir):
     start = model(base).first()["prediction"] if all(v is not None for v in mean.values()) else 0.0
     sums = out.groupBy("ts").agg(F.sum("contribution").alias("s")).join(model(rows).select("ts", "prediction"), "ts")
     sums = sums.select("ts", (F.abs(F.col("s") - (F.col("prediction") - start)) < 1e-6).alias("adds_up"))
-    return finish(out.join(sums, "ts"))
+    return finish(out.drop("std_error").join(sums, "ts"))
