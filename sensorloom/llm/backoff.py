@@ -12,20 +12,27 @@ log(oov / T) and (orders open to it - 1) log a besides.  So a document's n-grams
 are exploded, joined by hash to tables (n-gram hash, d) and summed; no position
 is ever grouped.  Each order is a step of its own that ends in sums per document.
 
-Where the documents are their own training corpus, every n-gram of theirs was seen
-and no word backs off, so that the scores of a document's words cancel down to
+Where the documents are their own training corpus, a document is scored under the counts of
+the documents of the other half (:func:`held_out_scores`): texts fall into two halves by their
+digest, so a document never counts for its own score, nor do its copies, and what only it
+says does back off.  There the same joins run on packed columns:
 
-    log score = sum of log c(K-gram) - sum of log c(inner (K-1)-gram) - log T
-
-with K the order and an inner n-gram one that starts neither a document nor ends it
-(a document of n < K words has log c(all of it) - log T).  Counts alone do then, and
-a slice of the n-grams by hash is counted and summed before the next one.
+1. Equal texts are one with a number of copies.  Blocks of texts of one half become arrays of word numbers.
+2. A block's distinct n-grams, hashed by array arithmetic and counted, are dealt by ranges of the hash.
+3. A range of the count table adds up the blocks' counts for both halves and answers each block with the
+   other half's count of every n-gram it sent, in the order sent.
+4. A block puts the answers back to its words, takes the longest history seen, and sums per text.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,55 +84,180 @@ def gram_tables(train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oo
     return out, int(total)
 
 
-def _own_sums(words: DataFrame, order: int, slices: int) -> DataFrame:
-    """``doc, d`` of ``words(doc, h)``: what the counts of their own n-grams give each document, without the share of T."""
-    n, sums = F.size("h"), None
-    for k in range(1, order + 1):
-        keys = _grams(k)["key"]
-        if k == order:
-            used, sign = keys, 1
-        elif k == order - 1:  # the inner ones, or the only one of a document that has no longer one
-            used, sign = F.when(n == k, keys).when(n > order, F.slice(keys, 2, n - order)), F.when(n == k, 1).otherwise(-1)
-        else:
-            used, sign = F.when(n == k, keys), 1
-        sign = F.lit(sign) if isinstance(sign, int) else sign
-        for part in range(slices):
-            own = F.pmod(F.xxhash64("key", F.lit(k)), F.lit(slices)) == part
-            counts = words.select(F.explode(keys).alias("key")).where(own).groupBy("key").agg(F.log(F.count("*")).alias("lc"))
-            terms = words.select("doc", sign.alias("sign"), F.explode(used).alias("key")).where(own)
-            one = terms.join(counts, "key").groupBy("doc").agg(F.sum(F.col("sign") * F.col("lc")).alias("d"))
-            one = written(one, f"own{k}-{part}")
-            sums = one if sums is None else sums.unionByName(one)
-    return sums.groupBy("doc").agg(F.sum("d").alias("d"))
+# ------------------------------------------------------------------ under the counts of the other half
+#: bytes of text in a block, and distinct n-grams of all blocks in a range of the count table, both about
+BLOCK_BYTES, RANGE_GRAMS = 16 << 20, 1 << 21
+#: A-Z become a-z, what stands between words becomes a blank; bytes of other characters stay
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _own_scores(docs: DataFrame, order: int, slices: int) -> DataFrame:
-    """``scores`` of ``docs(doc_id, text)`` under their own n-gram counts."""
-    docs = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
-    words = written(hashed_words(docs, "doc"), "words")
-    total = words.agg(F.coalesce(F.sum(F.size("h")), F.lit(0))).first()[0]
-    rows = words.groupBy("doc").agg(F.count("*").alias("copies"), F.first(F.size("h").cast("long")).alias("n_words"))
-    out = docs.select("doc_id", "doc").join(rows.join(_own_sums(words, order, slices), "doc", "left"), "doc", "left")
-    n = F.col("n_words")
-    shares = (n if order == 1 else F.when(n > 0, 1).otherwise(0)) * F.lit(math.log(max(total, 1)))
-    return out.select("doc_id", "n_words", F.greatest(n - (order - 1), F.lit(0).cast("long")).alias("n_seen"),
-                      F.when(F.lit(total > 0), F.coalesce("d", F.lit(0.0)) / F.col("copies") - shares).alias("log_score"))
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+def tokenized(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each distinct word, number of each word of the texts in a row, words of each text)."""
+    numbers: dict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    parts, sizes = [], []
+    for t in texts:
+        words = t.encode("utf-8").translate(_LETTERS).split(b" ")
+        ids = np.array([numbers[w] for w in words if w], dtype=np.uint32)
+        parts.append(ids)
+        sizes.append(len(ids))
+    h = xxhash.xxh3_64_intdigest
+    vocabulary = np.fromiter((h(w) for w in numbers), dtype="<u8", count=len(numbers))
+    return vocabulary, np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.array(sizes, np.int64)
+
+
+def grams(words: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place of its last word) of every k-gram that lies in one text."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    last = np.arange(k - 1, len(words))
+    key = words
+    for _ in range(k - 1):  # a longer n-gram from two shorter ones that overlap
+        key = _mix(key[:-1] * _ODD + key[1:])
+    inside = text[last] == text[last - k + 1]
+    return (key if k > 1 else _mix(key))[inside], last[inside]
+
+
+def _whole(counts: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    top = int(counts.max()) if len(counts) else 0
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+
+
+def _numbers(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """``half, block`` and the packed ``vocabulary, ids, sizes, copies, tids`` of the distinct texts of ``docs(tid, text)``; written."""
+    volume = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    number = max(1, math.ceil(volume / 2 / BLOCK_BYTES))
+    # partial aggregates make one row a task of a text that many documents have
+    texts = docs.groupBy("tid").agg(F.min("text").alias("text"), F.count("*").alias("copies"))
+    half = F.pmod(F.conv(F.substring("tid", 1, 1), 16, 10).cast("int"), F.lit(2))
+    dealt = texts.select(half.alias("half"), F.pmod(F.xxhash64("tid"), F.lit(number)).cast("int").alias("block"), "tid", "copies", "text")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        vocabulary, ids, sizes = tokenized(pdf.text)
+        return pd.DataFrame({"half": pdf.half[:1], "block": pdf.block[:1], "n_words": [int((sizes * pdf.copies.to_numpy()).sum())], "vocabulary": [vocabulary.tobytes()],
+                             "ids": [_whole(ids)], "sizes": [sizes.tobytes()], "copies": [pdf.copies.to_numpy("<i8").tobytes()], "tids": [list(pdf.tid)]})
+    kind = "half int, block int, n_words long, vocabulary binary, ids binary, sizes binary, copies binary, tids array<string>"
+    return written(dealt.groupBy("half", "block").applyInPandas(pack, kind), "blocks")
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes in a row, words of each text, copies of each text) of a block."""
+    sizes = np.frombuffer(row.sizes, "<i8")
+    return np.frombuffer(row.vocabulary, "<u8")[_numbers(row.ids, int(sizes.sum()))], sizes, np.frombuffer(row.copies, "<i8")
+
+
+def other_half(blocks: DataFrame, orders: list[int], bits: int) -> DataFrame:
+    """``half, block, k, part, n, counts``: for the sorted distinct k-grams of a block, cut into 2 ** ``bits`` ranges of the hash,
+    how often each stands in the texts of the other half; written."""
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                words, sizes, copies = _unpacked(row)
+                for k in orders:
+                    key, last = grams(words, sizes, k)
+                    if (copies == 1).all():
+                        key, n = np.unique(key, return_counts=True)
+                    else:
+                        key, at = np.unique(key, return_inverse=True)
+                        n = np.zeros(len(key), np.int64)
+                        np.add.at(n, at, np.repeat(copies, sizes)[last])
+                    cut = np.searchsorted(key >> np.uint64(64 - bits) if bits else np.zeros(len(key), np.uint64), np.arange((1 << bits) + 1, dtype=np.uint64))
+                    some = np.nonzero(np.diff(cut))[0]
+                    yield pd.DataFrame({"k": k, "part": some.astype("<i4"), "half": row.half, "block": row.block,
+                                        "keys": [key[cut[p]: cut[p + 1]].tobytes() for p in some], "n": [_whole(n[cut[p]: cut[p + 1]]) for p in some]})
+
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(x, "<u8") for x in pdf["keys"]]
+        sizes = np.array([len(x) for x in keys])
+        n = np.concatenate([_numbers(x, len(y)) for x, y in zip(pdf.n, keys)])
+        half = np.repeat(pdf.half.to_numpy(), sizes)
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        both = np.zeros((2, at.max() + 1), np.int64)
+        np.add.at(both, (half, at), n)
+        found = both[1 - half, at]
+        end = np.cumsum(sizes)
+        return pd.DataFrame({"half": pdf.half, "block": pdf.block, "k": pdf.k, "part": pdf.part, "n": sizes,
+                             "counts": [_whole(found[e - m: e]) for e, m in zip(end, sizes)]})
+    kind = "k int, part int, half int, block int, keys binary, n binary"
+    sent = blocks.select("half", "block", "vocabulary", "ids", "sizes", "copies").mapInPandas(send, kind)
+    return written(sent.groupBy("k", "part").applyInPandas(answer, "half int, block int, k int, part int, n long, counts binary"), "answers")
+
+
+def held_out_scores(docs: DataFrame, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV) -> DataFrame:
+    """``tid, n_words, n_seen, log_score`` of the distinct texts of ``docs(tid, text)``, ``tid`` the text's MD5 digest in hex:
+    each under the n-gram counts of all texts (with their copies) of the other half, told apart by the digest's first digit."""
+    blocks = blocks_of(docs)
+    totals = {r.half: r.n for r in blocks.groupBy("half").agg(F.sum("n_words").alias("n")).collect()}
+    bits = max(0, math.ceil(math.log2(max(1, sum(totals.values())) / RANGE_GRAMS)))
+    # the highest order makes the most n-grams and goes alone: less is on disk at a time
+    answers = other_half(blocks, [order], bits)
+    if order > 1:
+        answers = answers.unionByName(other_half(blocks, list(range(1, order)), bits))
+
+    def score(_, mine: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        row = next(mine.itertuples(index=False))
+        words, sizes, _ = _unpacked(row)
+        total = totals.get(1 - row.half, 0)
+        c = {}
+        got = got.sort_values(["k", "part"])
+        for k in range(1, order + 1):
+            key, last = grams(words, sizes, k)
+            _, at = np.unique(key, return_inverse=True)
+            parts = got[got.k == k]
+            counts = [_numbers(x, n) for x, n in zip(parts.counts, parts.n)]
+            c[k] = np.zeros(len(words), np.int64)
+            if counts:
+                c[k][last] = np.concatenate(counts)[at]
+        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        level = np.zeros(len(words), np.int64)  # the longest order seen
+        for k in range(1, order + 1):
+            level[c[k] > 0] = k
+        with np.errstate(divide="ignore"):
+            s = np.full(len(words), math.log(oov) - math.log(max(total, 1)))
+            for k in range(1, order + 1):
+                below = np.log(c[k - 1][:-1]) if k > 1 else math.log(max(total, 1))
+                here = np.log(c[k])
+                if k > 1:
+                    here[1:] -= below
+                else:
+                    here -= below
+                s = np.where(level == k, here, s)
+        s += (np.minimum(place + 1, order) - np.maximum(level, 1)) * math.log(weight)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        log_score = np.bincount(text, s, len(sizes)) if total else np.full(len(sizes), None, dtype=object)
+        seen = np.bincount(text[level == order], minlength=len(sizes))
+        return pd.DataFrame({"tid": list(row.tids), "n_words": sizes, "n_seen": seen, "log_score": log_score})
+    both = blocks.groupBy("half", "block").cogroup(answers.groupBy("half", "block"))
+    return both.applyInPandas(score, "tid string, n_words long, n_seen long, log_score double")
 
 
 def scores(docs: DataFrame, train: DataFrame | None = None, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV,
            doc_id: str = "doc_id", text: str = "text", slices: int = 2) -> DataFrame:
-    """``doc_id, n_words, n_seen, log_score`` per row of ``docs`` under the n-gram counts of ``train(text)``, or of all ``docs``.
+    """``doc_id, n_words, n_seen, log_score`` per row of ``docs`` under the n-gram counts of ``train(text)``, or, without it, of the other half of ``docs``.
 
     ``n_seen`` counts words whose n-gram of the highest order was seen;
     ``log_score`` is the natural log of the product of the words' scores, 0
-    without words (null and empty texts), and null if ``train`` has no words.
-    The n-grams of an order are joined in ``slices`` parts by hash, one after the
+    without words (null and empty texts), and null if there are no training words.
+    With ``train``, the n-grams of an order are joined in ``slices`` parts by hash, one after the
     other: the shuffle of one part is all the disk that is needed at a time.
     Words are as in decontamination.  Repeated rows get equal results; a null
-    doc_id is a row like others; other columns are not read."""
+    doc_id is a row like others; other columns are not read.  An empty table gives an empty result."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     if train is None:
-        return _own_scores(docs, order, slices)
+        docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.md5("text"))
+        rows = written(held_out_scores(docs.select("tid", "text"), order, weight, oov), "scores")
+        return docs.select("doc_id", "tid").join(rows, "tid").select("doc_id", "n_words", "n_seen", "log_score")
     tables, total = gram_tables(train, order, weight, oov)
     words = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
@@ -156,7 +288,7 @@ def good_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query: trigram stupid-backoff score of every document under the counts of all documents."""
+    """Query: trigram stupid-backoff score of every document under the counts of all documents of the other half."""
     rows = scores(table(spark, sf_dir, "documents"))
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words") * 1e6 + 0.001) / 1e6)
     return rows.select("doc_id", "n_words", "n_seen", mean.alias("mean_log_score"))
@@ -165,16 +297,21 @@ def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL_WORDS = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
               r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_SQL_WORDS} AS w FROM documents),
-tr AS (SELECT w FROM d WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)),
-u AS (SELECT x, CAST(count(*) AS DOUBLE) AS c FROM (SELECT unnest(w) AS x FROM tr) GROUP BY x),
-n AS (SELECT sum(c) AS t FROM u),
-b AS (SELECT x, y, CAST(count(*) AS DOUBLE) AS c FROM (SELECT unnest(w[:len(w) - 1]) AS x, unnest(w[2:]) AS y FROM tr WHERE len(w) > 1) GROUP BY x, y),
-p AS (SELECT rid, i, w[i] AS y, CASE WHEN i > 1 THEN w[i - 1] END AS x FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-s AS (SELECT p.rid, b.c IS NOT NULL AS seen,
-             CASE WHEN b.c IS NOT NULL THEN ln(b.c / h.c)
-                  ELSE ln(coalesce(u.c, {OOV}) / t) + CASE WHEN p.i > 1 THEN ln({WEIGHT}) ELSE 0 END END AS l
-      FROM p CROSS JOIN n LEFT JOIN b ON p.x = b.x AND p.y = b.y LEFT JOIN u h ON p.x = h.x LEFT JOIN u ON p.y = u.x),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, instr('13579bdf', substr(md5(coalesce(text, '')), 1, 1)) > 0 AS half, {_SQL_WORDS} AS w FROM documents),
+p AS MATERIALIZED (SELECT rid, half, i, w[i] AS z, CASE WHEN i > 1 THEN w[i - 1] END AS y, CASE WHEN i > 2 THEN w[i - 2] END AS x
+  FROM (SELECT rid, half, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+n AS (SELECT NOT half AS half, count(*) AS t FROM p GROUP BY 1),
+u AS (SELECT NOT half AS half, z, CAST(count(*) AS DOUBLE) AS c FROM p GROUP BY ALL),
+b AS (SELECT NOT half AS half, y, z, CAST(count(*) AS DOUBLE) AS c FROM p WHERE i > 1 GROUP BY ALL),
+t AS (SELECT NOT half AS half, x, y, z, CAST(count(*) AS DOUBLE) AS c FROM p WHERE i > 2 GROUP BY ALL),
+s AS (SELECT p.rid, t.c IS NOT NULL AS seen,
+        CASE WHEN t.c IS NOT NULL THEN ln(t.c / h2.c)
+             WHEN b.c IS NOT NULL THEN ln(b.c / h1.c) + CASE WHEN p.i > 2 THEN ln({WEIGHT}) ELSE 0 END
+             ELSE ln(coalesce(u.c, {OOV}) / n.t) + least(p.i - 1, 2) * ln({WEIGHT}) END AS l
+      FROM p LEFT JOIN n ON n.half = p.half LEFT JOIN u ON u.half = p.half AND u.z = p.z
+      LEFT JOIN u h1 ON h1.half = p.half AND h1.z = p.y
+      LEFT JOIN b ON b.half = p.half AND b.y = p.y AND b.z = p.z LEFT JOIN b h2 ON h2.half = p.half AND h2.y = p.x AND h2.z = p.y
+      LEFT JOIN t ON t.half = p.half AND t.x = p.x AND t.y = p.y AND t.z = p.z),
 a AS (SELECT rid, count(*) FILTER (WHERE seen) AS n_seen, avg(l) AS l FROM s GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_seen, 0) AS n_seen,
        round(l * CAST(1000000 AS DOUBLE) + CAST(0.001 AS DOUBLE)) / CAST(1000000 AS DOUBLE) AS mean_log_score
