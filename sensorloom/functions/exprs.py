@@ -178,6 +178,11 @@ def magnitude_gate(c: ColumnOrName, limit: float) -> Column:
     return F.when(F.abs(x) > F.lit(limit), F.lit(0.0)).otherwise(x)
 
 
+def zero_while(c: ColumnOrName, other: ColumnOrName, limit: float = 0.0) -> Column:
+    """Values become 0 while another tag is above ``limit`` (a NULL there changes nothing)."""
+    return F.when(F.coalesce(col(other) > F.lit(limit), F.lit(False)), F.lit(0.0)).otherwise(col(c))
+
+
 def on_off(c: ColumnOrName, off_when: str, value: float) -> Column:
     """1 unless the value is NULL or below/above the limit, then 0."""
     x = col(c)

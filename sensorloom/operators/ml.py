@@ -186,6 +186,17 @@ def tune(df: DataFrame, ts_col: str, features: Sequence[str], target: str, kind:
     return best, results
 
 
+def tune_at_cut(df: DataFrame, ts_col: str, cut: datetime, features: Sequence[str], target: str, kind: str,
+                space: Mapping[str, Sequence], draws: int = 500, n_splits: int = 5, seed: int = 0) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """ML15: the search on the rows before ``cut``, and its winner's predictions for all rows.
+
+    Returns ``(model, rows with split and prediction, search results)``; rows from ``cut`` on are ``test``."""
+    before = F.col(ts_col) < F.lit(cut).cast("timestamp_ntz")
+    model, results = tune(df.where(before), ts_col, features, target, kind, space, draws, n_splits, seed)
+    rows = predict(model, df.withColumn("split", F.when(before, "train").otherwise("test")))
+    return model, rows, results
+
+
 def model_per_unit(df: DataFrame, unit_col: str, units: Sequence, features: Sequence[str],
                    target: str, kind: str, params: Mapping | None = None,
                    threads: int = 4) -> dict:

@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.functions.exprs import MICROS_PER_SECOND, epoch_us
+from sensorloom.functions.exprs import MICROS_PER_SECOND, cut, epoch_us
+from sensorloom.operators.joins import exclude_intervals
 from sensorloom.operators import windows as W
 from sensorloom.operators.quantiles import running_counts
 from sensorloom.session import written
@@ -167,9 +168,10 @@ def create_qa_table(tags: DataFrame, stat_na: DataFrame, conc: DataFrame, null_r
     return td.join(j, "tag", "left")
 
 
-def go_or_no_go(qa: DataFrame, td: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+def go_or_no_go(qa: DataFrame, td: DataFrame, feature_cols: Sequence[str], raise_on_no_go: bool = False) -> DataFrame:
     """QC11: for every ``*_feature`` flag, non-derived selected tags grouped by
-    score; ``go`` is false when any selected tag has score ≥ 2 (decision D7)."""
+    score; ``go`` is false when any selected tag has score ≥ 2 (decision D7).
+    With ``raise_on_no_go`` a flag that is no go raises and names its tags."""
     scored = td.join(qa.select("tag", "score"), "tag", "left")
     long = scored.select("tag", "score", "derived", F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("boolean").alias("on"))
@@ -179,7 +181,12 @@ def go_or_no_go(qa: DataFrame, td: DataFrame, feature_cols: Sequence[str]) -> Da
         F.count(F.lit(1)).alias("n_tags"), F.sort_array(F.collect_list("tag")).alias("tags"))
     go = g.groupBy("feature").agg(
         (~F.coalesce(F.max(F.col("score") >= 2), F.lit(False))).alias("go"))
-    return g.join(go, "feature")
+    out = g.join(go, "feature")
+    if raise_on_no_go:
+        bad = out.where(~F.col("go") & (F.col("score") >= 2)).orderBy("feature", "score").limit(20).collect()
+        if bad:
+            raise ValueError("no go: " + "; ".join(f"{r.feature} score {r.score}: {', '.join(r.tags[:20])}" for r in bad))
+    return out
 
 
 def screen(stat_na: DataFrame, null_runs: DataFrame, ks_sum: DataFrame | None, conc: DataFrame,
@@ -205,6 +212,21 @@ def screen(stat_na: DataFrame, null_runs: DataFrame, ks_sum: DataFrame | None, c
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def prepared(long: DataFrame, ignore: DataFrame | None = None, ranges: Mapping[str, Sequence] | None = None, ts_col: str = "ts") -> DataFrame:
+    """QC8's first steps on ``(tag, ts, value)``: rows in ignored date ranges go (``start_ts, end_ts``, both in), values outside a tag's
+    range become NULL, and ``pos`` numbers each tag's remaining rows in time."""
+    out = long if ignore is None else exclude_intervals(long, ignore, ts_col)
+    for tag, (lo, hi) in (ranges or {}).items():
+        out = out.withColumn("value", F.when(F.col("tag") == tag, cut("value", lo, hi)).otherwise(F.col("value")))
+    return W.dense_index(out.drop("pos"), ["tag"], ts_col)
+
+
+def removed_series(long: DataFrame, removed: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """QC18: the series of the removed tags with the first of their reasons in alphabet, the rows behind the plots."""
+    reason = removed.groupBy("tag").agg(F.min("reason").alias("reason"))
+    return long.join(reason, "tag").select("tag", ts_col, "value", "reason")
+
+
 def drop_screened(long: DataFrame, removed: DataFrame) -> DataFrame:
     """QC9: drop the removed tags' rows (left anti join on ``tag``)."""
     return long.join(removed.select("tag").distinct(), "tag", "left_anti")

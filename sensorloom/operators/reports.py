@@ -108,6 +108,17 @@ def score_splits(df: DataFrame, targets: Mapping[str, str], split_col: str = "sp
     return M.regression_metrics(long, "y", "yhat", [split_col, "target"]).join(spread, [split_col, "target"])
 
 
+def score_recovery(df: DataFrame, actual: str, conc: str, feed: str, tails: str, lag: str | None = None, split_col: str = "split") -> DataFrame:
+    """ML11: metrics of the recovery that follows from predicted tails, by split.
+
+    ``tails`` is the prediction, or with ``lag`` the predicted change of that column.  The recovery is
+    ``c(f − t) / (f(c − t))``; a division by zero leaves the row out."""
+    t = F.col(tails) if lag is None else F.col(lag) + F.col(tails)
+    f, c = F.col(feed), F.col(conc)
+    rows = df.withColumn("_t", t).withColumn("_recovery", safe_div((f - F.col("_t")) * c, (c - F.col("_t")) * f))
+    return score_splits(rows, {actual: "_recovery"}, split_col)
+
+
 def normal_quantile_sql(p: str) -> str:
     """The standard normal quantile of ``p`` in (0, 1) as a SQL expression: Acklam's rational approximation."""
     # fixed values: the coefficients of that approximation

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from sensorloom.functions.exprs import col, cut, row_mean, row_sum, safe_div, weighted_avg
+from sensorloom.functions.exprs import col, cut, magnitude_gate, non_negative, row_mean, row_sum, safe_div, weighted_avg, zero_while
 from sensorloom.operators import features as FE
 from sensorloom.operators import windows as W
 
@@ -185,6 +185,28 @@ def shift_bundle(p: Mapping, prefix: str) -> list[Feature]:
     return out
 
 
+def blend_features(p: Mapping, prefix: str, lag: int = 2) -> list[Feature]:
+    """FEA25: what a mill's feed is blended of, by source and as shares.
+
+    ``p`` names ``belt`` and ``status`` with ``scale`` (the far belt's load is their product), ``open`` (open pit's part
+    of it, as far as the belt runs), ``near`` (the near belt) and ``recycled`` (its part that is recycled, missing
+    is 0).  The far belt's ore arrives ``lag`` rows later.  Negative amounts are 0; a share of nothing is NULL."""
+    far, far_open, sources = f"_{prefix}_far", f"_{prefix}_far_open", ["open", "recycled", "under"]
+    back = p["recycled"]
+    raw = {n: f"_{prefix}_raw_{n}" for n in sources}
+    out = [row(far, [p["status"], p["scale"]], lambda: F.col(p["status"]) * F.col(p["scale"])),
+           row(far_open, [p["status"], p["open"]], lambda: F.col(p["status"]) * F.col(p["open"])),
+           row(f"_{prefix}_far_under", [far, far_open], lambda: F.col(far) - F.col(far_open)),
+           lagged(f"_{prefix}_open_then", far_open, lag), lagged(raw["under"], f"_{prefix}_far_under", lag),
+           row(raw["recycled"], [back], lambda: F.coalesce(F.col(back), F.lit(0.0))),
+           row(raw["open"], [p["near"], back, f"_{prefix}_open_then"],
+               lambda: F.col(p["near"]) - F.coalesce(F.col(back), F.lit(0.0)) + F.col(f"_{prefix}_open_then"))]
+    out += [row(f"{prefix}_{n}", [raw[n]], lambda n=n: non_negative(raw[n])) for n in sources]
+    names = [f"{prefix}_{n}" for n in sources]
+    out.append(row(f"{prefix}_total", names, lambda: row_sum(names)))
+    return out + [row(f"{n}_share", [n, f"{prefix}_total"], lambda n=n: safe_div(n, f"{prefix}_total")) for n in names]
+
+
 # ------------------------------------------------------------------ plant KPIs
 LITRES_TO_CUBIC = 3.6  # l/s to m3/h
 
@@ -209,8 +231,8 @@ def plant_kpis(p: Mapping) -> list[Feature]:
     def fresh_water() -> Column:
         flow, gate = p["gated"]
         taken, added = p["corrected"]
-        gated = F.when(F.coalesce(F.col(gate) > 0, F.lit(False)), F.lit(0.0)).otherwise(F.col(flow))
-        back = F.when(F.abs(F.col(taken)) > 400, F.lit(0.0)).otherwise(-F.col(taken)) + F.col(added)
+        gated = zero_while(flow, gate)
+        back = magnitude_gate(-F.col(taken), 400) + F.col(added)
         total = row_sum(p["fresh"]) - row_sum(p["fresh_out"]) + row_sum([gated, back])
         return total * F.lit(LITRES_TO_CUBIC)
 

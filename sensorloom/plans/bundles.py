@@ -137,3 +137,30 @@ def plant_kpis(spark, sf_dir):
     tags = FX.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[F.expr(v).alias(k) for k, v in TAGS.items()])
     out = S.compile_features(tags, S.plant_kpis(KPI), [], "pos").where(S.operating())
     return finish(out.select("l_orderkey", "l_linenumber", *KPIS))
+
+
+BLEND = {"status": "status", "scale": "click", "open": "open_", "near": "view", "recycled": "back"}
+BLEND_COLUMNS = ["mill_open", "mill_recycled", "mill_under", "mill_total", "mill_open_share", "mill_recycled_share", "mill_under_share"]
+
+
+def _blend_sql() -> str:
+    cut = lambda c: f"CASE WHEN {c} < 0 THEN 0.0 ELSE {c} END"
+    w = "(PARTITION BY asset ORDER BY pos)"
+    total = s_rsum(["o", "r", "u"])
+    return f"""WITH {_hour_sql()},
+s AS (SELECT panel.asset, panel.pos // 8 AS pos, avg(click) AS click, avg(view) AS view FROM panel LEFT JOIN h ON h.asset = panel.asset AND h.ts = panel.ts GROUP BY 1, 2),
+f AS (SELECT asset, pos, CASE WHEN pos % 5 = 0 THEN 0.0 ELSE 1.0 END AS status, click, view, click * 0.4 AS open_, CASE WHEN pos % 3 > 0 THEN view * 0.7 - 20.0 END AS back FROM s),
+g AS (SELECT *, status * click AS far, status * open_ AS far_open FROM f),
+l AS (SELECT asset, pos, {cut(f"(view - coalesce(back, 0.0) + lag(far_open, 2) OVER {w})")} AS o, {cut("coalesce(back, 0.0)")} AS r, {cut(f"(lag(far - far_open, 2) OVER {w})")} AS u FROM g)
+SELECT asset, CAST(pos AS BIGINT) AS pos, {sql_r("o")} AS mill_open, {sql_r("r")} AS mill_recycled, {sql_r("u")} AS mill_under, {sql_r(total)} AS mill_total,
+  {sql_r(s_div("o", total))} AS mill_open_share, {sql_r(s_div("r", total))} AS mill_recycled_share, {sql_r(s_div("u", total))} AS mill_under_share FROM l"""
+
+
+@register("blend_shares", _blend_sql())
+def blend_shares(spark, sf_dir):
+    """FEA25: a mill's feed by source on eight-hour rows, the far belt's ore two rows later."""
+    panel = _asset_hourly(spark, sf_dir)
+    rows = panel.groupBy("asset", F.expr("pos div 8").alias("pos")).agg(F.avg("click").alias("click"), F.avg("view").alias("view"))
+    rows = rows.withColumns({"status": F.when(F.col("pos") % 5 == 0, 0.0).otherwise(1.0), "open_": F.col("click") * 0.4,
+                             "back": F.when(F.col("pos") % 3 > 0, F.col("view") * 0.7 - 20.0)})
+    return finish(S.compile_features(rows, S.blend_features(BLEND, "mill"), ["asset"], "pos", BUCKET).select("asset", "pos", *BLEND_COLUMNS))

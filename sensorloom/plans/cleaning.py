@@ -41,11 +41,9 @@ def clean_cut_clip(spark, sf_dir):
     """CLN1 cut by dict, CLN2/CLN11 cut by list, CLN3 clip, CLN12 magnitude gate,
     CLN14 negatives → 0, CLN10 guarded divide."""
     h = FX.hourly_wide(spark, sf_dir)
+    h = h.withColumns({"_p": F.col("purchase"), "_v": F.col("view"), "_c": F.col("click")})
     h = C.cut_values_from_dict(h, {"click": (10, 100)})
     h = C.cut_values_from_list(h, ["error", "signup"], (0, 95))
-    raw = FX.hourly_wide(spark, sf_dir).select("ts", F.col("purchase").alias("_p"),
-                                               F.col("view").alias("_v"), F.col("click").alias("_c"))
-    h = h.join(raw, "ts")
     out = h.select(
         "ts", "click", "error", "signup",
         clip("_p", 20, 80).alias("purchase"),
@@ -331,7 +329,7 @@ def project_names(spark, sf_dir):
 
 @register("project_select_drop", f"""
 WITH {SQL_TEN_MIN}
-SELECT ts, {", ".join(sql_r(t) + " AS " + t for t in TAGS)} FROM ten
+SELECT ts, {", ".join(sql_r(t) + " AS " + t for t in TAGS if t != "error")}, {sql_r("click")} AS cam_1, {sql_r("view")} AS cam_2, {sql_r("click")} AS cam_3 FROM ten
 """)
 def project_select_drop(spark, sf_dir):
     """PRJ5 select by regex, PRJ6 drop by list, PRJ7 drop all-NULL, PRJ8 NULL-share
@@ -344,7 +342,7 @@ def project_select_drop(spark, sf_dir):
     d = P.drop_columns(d, items=["pos"])
     bases = [c for c in ("click", "view") if c in d.columns]  # columns kept by the screens
     d = P.alias_cycle(d, bases, ["cam_1", "cam_2", "cam_3"]) if bases else d
-    d = P.only_new_columns(d, ["cam_1", "cam_2", "cam_3"], keep=["ts"])
+    d = P.only_new_columns(d, ["error"], keep=["ts"])
     return finish(d)
 
 

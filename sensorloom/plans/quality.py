@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sensorloom.operators import quality as Q
 from sensorloom.operators import tags as TG
 from sensorloom.plans.common import SQL_TEN_LONG, finish, register, sql_r
+from sensorloom.session import written
 from sensorloom.sources import fixtures as FX
 
 BUCKET = 1024
@@ -162,7 +163,7 @@ FROM td LEFT JOIN qa USING (tag)
 """)
 def qa_table(spark, sf_dir):
     """QC10 + JOI10 + JOI11 (+ AGG7, AGG8, AGG10): quality table joined to the dictionary."""
-    long = _long(spark, sf_dir)
+    long = written(_long(spark, sf_dir), "long")
     qa = Q.create_qa_table(long.select("tag").distinct(), Q.monthly_null_pct(long),
                            Q.concentration(long), Q.null_run_table(long, BUCKET))
     td = FX.tag_dictionary(spark).select("tag", "tag_type", "derived", "model_feature")
@@ -177,7 +178,7 @@ SELECT gs.*, NOT coalesce(bool_or(score >= 2) OVER (PARTITION BY feature), false
 """)
 def qa_go_no_go(spark, sf_dir):
     """QC11 + AGG14: selected non-derived tags by score per feature flag; go/no-go."""
-    long = _long(spark, sf_dir)
+    long = written(_long(spark, sf_dir), "long")
     qa = Q.create_qa_table(long.select("tag").distinct(), Q.monthly_null_pct(long),
                            Q.concentration(long), Q.null_run_table(long, BUCKET))
     g = Q.go_or_no_go(qa, FX.tag_dictionary(spark), ["model_feature"])
@@ -219,6 +220,53 @@ def qa_screen(spark, sf_dir):
     return finish(out)
 
 
+IGNORE = [(datetime(2024, 1, 9, 0, 0), datetime(2024, 1, 10, 12, 0)), (datetime(2024, 1, 20, 6, 0), datetime(2024, 1, 20, 18, 0))]
+RANGES = {"click": (35.0, 65.0), "view": (None, 52.0)}
+
+
+def _screened(spark, sf_dir):
+    """The prepared long table and the tags its screens remove."""
+    gone = spark.createDataFrame(IGNORE, "start_ts timestamp_ntz, end_ts timestamp_ntz")
+    long = written(Q.prepared(_long(spark, sf_dir), gone, RANGES), "prepared")
+    windows = _ks_windows(spark, long)
+    ks = Q.ks_summary(Q.ks_stability(long, windows), windows)
+    removed = Q.screen(Q.monthly_null_pct(long), Q.null_run_table(long, BUCKET), ks, Q.concentration(long), SCREEN)
+    return long, written(removed, "removed")
+
+
+def _prepared_sql() -> str:
+    """The screens' SQL on prepared rows: everything that reads ``ten_long`` reads them."""
+    stamp = lambda t: f"TIMESTAMP '{t}'"
+    out = " AND ".join(f"NOT (ts BETWEEN {stamp(a)} AND {stamp(b)})" for a, b in IGNORE)
+    keep = ", ".join(f"('{t}', {'NULL' if lo is None else lo}, {'NULL' if hi is None else hi})" for t, (lo, hi) in RANGES.items())
+    sql = _screen_sql().replace("ten_long AS (", "ten_all AS (", 1)
+    rows = f"""rng(rtag, lo, hi) AS (VALUES {keep}),
+ten_long AS (SELECT ts, tag, row_number() OVER (PARTITION BY tag ORDER BY ts) - 1 AS pos,
+    CASE WHEN rtag IS NULL OR ((lo IS NULL OR value >= lo) AND (hi IS NULL OR value <= hi)) THEN value END AS value
+  FROM ten_all LEFT JOIN rng ON rtag = tag WHERE {out}),
+b AS ("""
+    return sql.replace("b AS (", rows, 1)
+
+
+@register("qa_screen_prepared", _prepared_sql())
+def qa_screen_prepared(spark, sf_dir):
+    """QC8 in its whole order: ignored dates and tag ranges first, then the screens QC4–QC7 and QC9."""
+    long, removed = _screened(spark, sf_dir)
+    kept = Q.drop_screened(long, removed).groupBy("tag").agg(F.count(F.lit(1)).alias("rows"))
+    return finish(removed.select("tag", "reason", F.lit(None).cast("long").alias("rows")).unionByName(kept.select("tag", F.lit("kept").alias("reason"), "rows")))
+
+
+def _removed_sql() -> str:
+    head, _, _ = _prepared_sql().rpartition("SELECT tag, reason, CAST(NULL AS BIGINT)")
+    return f"{head} SELECT tag, ts, {sql_r('value')} AS value, reason FROM ten_long JOIN (SELECT tag, min(reason) AS reason FROM removed GROUP BY tag) USING (tag)"
+
+
+@register("qa_removed_series", _removed_sql())
+def qa_removed_series(spark, sf_dir):
+    """QC18: the series of the tags that the screens remove."""
+    return finish(Q.removed_series(*_screened(spark, sf_dir)))
+
+
 @register("tag_dictionary_checks", f"""
 WITH RECURSIVE obs AS (SELECT DISTINCT event_type AS tag FROM events),
 {_dict_cols_sql()},

@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from sensorloom.functions.exprs import safe_div
 from sensorloom.operators import attribution as A
 from sensorloom.operators import reports as R
 from sensorloom.plans.common import SQL_HOURLY, SQL_TEN_LONG, SQL_TEN_MIN, finish, register, sql_r
-from sensorloom.plans.features import CELLS_SQL, _metallurgy, s_cut, s_div, s_rsum
+from sensorloom.plans.features import _MET_SQL, CELLS_SQL, _metallurgy, s_cut, s_div, s_rsum
 from sensorloom.plans.optimisation import _runs
 from sensorloom.sources import fixtures as FX
 
@@ -254,3 +255,25 @@ def attribution(spark, sf_dir):
     sums = out.groupBy("ts").agg(F.sum("contribution").alias("s")).join(model(rows).select("ts", "prediction"), "ts")
     sums = sums.select("ts", (F.abs(F.col("s") - (F.col("prediction") - start)) < 1e-6).alias("adds_up"))
     return finish(out.drop("std_error").join(sums, "ts"))
+
+
+def _recovery_sql() -> str:
+    rec = lambda t: s_div(f"(feed - {t}) * conc", f"(conc - {t}) * feed")
+    e = "(y - p)"
+    return f"""WITH {_MET_SQL}, r AS (SELECT CASE WHEN l_linenumber <= 3 THEN 'train' ELSE 'test' END AS split, {rec('tails')} AS y,
+  {rec('tails2')} AS p1, {rec("(tails * 0.9 + (tails2 - tails) * 0.5)")} AS p2 FROM m),
+l AS (SELECT 'level' AS kind, split, y, p1 AS p FROM r UNION ALL SELECT 'change', split, y, p2 FROM r)
+SELECT kind, split, {sql_r(f'avg(abs{e})')} AS mae, {sql_r(f'sqrt(avg({e} * {e}))')} AS rmse, {sql_r('avg(y)')} AS mean_true, {sql_r('avg(p)')} AS mean_pred,
+  {sql_r(f'1.0 - var_pop{e} / var_pop(y)')} AS var_score, {sql_r('stddev_samp(y)')} AS std_true
+FROM l WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("recovery_scores", _recovery_sql())
+def recovery_scores(spark, sf_dir):
+    """ML11: scores of the recovery that follows from predicted tails, given as a level and as a change."""
+    m = _metallurgy(spark, sf_dir)
+    actual = safe_div((F.col("feed") - F.col("tails")) * F.col("conc"), (F.col("conc") - F.col("tails")) * F.col("feed"))
+    m = m.withColumns({"split": F.when(F.col("l_linenumber") <= 3, "train").otherwise("test"), "recovery": actual,
+                       "lag1": F.col("tails") * 0.9, "change": (F.col("tails2") - F.col("tails")) * 0.5})
+    parts = [R.score_recovery(m, "recovery", "conc", "feed", *how).withColumn("kind", F.lit(kind)) for kind, how in (("level", ("tails2",)), ("change", ("change", "lag1")))]
+    return finish(parts[0].unionByName(parts[1]).select("kind", "split", "mae", "rmse", "mean_true", "mean_pred", "var_score", "std_true"))

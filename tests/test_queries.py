@@ -4,8 +4,9 @@ import pytest
 import __spark_entry__ as E
 from sensorloom import plans
 
-SLOW = {"recommendations", "cluster_sweep", "tuned_models_per_unit", "expect_multivariate",
-        "model_fit_importance"}
+MODEL_BASED = {"cluster_sweep", "density_sweep", "tuned_models_per_unit", "expect_multivariate", "model_fit_importance"}
+# rules of these leave nothing at this size
+MAY_BE_EMPTY = {"qa_ks", "qa_removed_series", "relining_stamps", "features_flotation"}
 
 
 def test_entry(spark):
@@ -17,12 +18,14 @@ def test_entry(spark):
 def test_every_query_has_oracle_or_is_model_based():
     q, o = plans.queries(), plans.oracle_sql()
     assert set(o) <= set(q) <= set(E.queries())
-    assert set(q) - set(o) <= SLOW | {"qa_screen"}
+    assert set(q) - set(o) <= MODEL_BASED
 
 
-@pytest.mark.parametrize("name", sorted(set(plans.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query_runs(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
-    first = df.schema
-    assert df.count() >= 0
-    assert E.queries()[name](spark, "/root/testdata/sf0.001").schema == first
+    rows = df.collect()
+    assert len(rows) > 0 or name in MAY_BE_EMPTY
+    # the same rows again, whatever the order; a search and a forest draw by seeded hashes
+    again = df.collect() if name in MODEL_BASED else E.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
