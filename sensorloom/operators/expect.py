@@ -120,6 +120,8 @@ def kmeans_anomaly(df: DataFrame, cols: Sequence[str], k: int = 2, seed: int = 1
     from pyspark.ml.feature import VectorAssembler
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols])
     vec = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df.where(whole))
+    if vec.isEmpty():
+        return df.select("*", F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("boolean").alias("anomaly"))
     lab = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(vec).transform(vec)
     sizes = lab.groupBy("_c").count()
     smallest = sizes.orderBy("count", "_c").limit(1).select(F.col("_c").alias("_s"))

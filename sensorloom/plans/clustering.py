@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from sensorloom.operators import cluster as CL
 from sensorloom.operators import joins as J
 from sensorloom.operators.density import density_labels
+from sensorloom.operators.transformers import FillMedian
 from sensorloom.plans.common import SQL_HOURLY, finish, register, sql_r
+from sensorloom.session import written
 from sensorloom.sources import fixtures as FX
 from sensorloom.sources.fixtures import TAGS
 
@@ -99,7 +101,8 @@ def cluster_box_stats(spark, sf_dir):
 def cluster_sweep(spark, sf_dir):
     """CLU5 parameter grid, CLU1 scaling, CLU4 PCA, CLU2 (re-aimed) sweep of
     KMeans, bisecting KMeans and Gaussian mixtures of 3 to 6 clusters scored by CLU3 and chosen with the TOP3 rule."""
-    h = FX.hourly_wide(spark, sf_dir).na.drop(subset=TAGS)
+    h = FX.hourly_wide(spark, sf_dir)
+    h = written(FillMedian(columns=TAGS).fit(h).transform(h), "filled")  # every hour counts
     z = CL.scale(h, TAGS, "standard")
     k, pcs = CL.pca_scores(z, TAGS, 0.8)
     grid = [(r["algo"], int(r["k"])) for r in
@@ -135,7 +138,8 @@ def density_clusters(spark, sf_dir):
 @register("density_sweep")
 def density_sweep(spark, sf_dir):
     """CLU2 with noise, its growth loop, CLU3 scores and the TOP3 choice, of every setting tried."""
-    h = FX.hourly_wide(spark, sf_dir).na.drop(subset=CVARS + MVARS)
+    h = FX.hourly_wide(spark, sf_dir)
+    h = FillMedian(columns=CVARS + MVARS).fit(h).transform(h)
     z = CL.scale(h, CVARS, "standard").select("ts", *CVARS, *MVARS)
     scores, chosen, _ = CL.find_density_model(z, CVARS, MVARS, radius=0.3, init_share=0.04, trials=3, min_clusters=2, max_clusters=6)
     keys = ["round", "min_cluster_size", "min_samples"]

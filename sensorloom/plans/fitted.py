@@ -17,7 +17,7 @@ def _rows(spark, sf_dir):
     """The hourly table with a column that is empty, and one that is sparse, before the split only."""
     h = FX.hourly_wide(spark, sf_dir)
     train = F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")
-    return h.withColumns({"late": F.when(~train, F.col("view")), "sparse": F.when(~train | (F.hour("ts") < 6), F.col("signup")),
+    return h.withColumns({"late": F.when(~train, F.col("view")), "sparse": F.when(~train | (F.hour("ts") < 2), F.col("signup")),
                           "note": F.lit("x")}), train
 
 
@@ -43,7 +43,7 @@ SELECT ts, {out} FROM test2, s"""
 def fitted_pipeline(spark, sf_dir):
     """PRJ5–PRJ8, CLN5, CLN7, CLU1 in one Pipeline: fitted before the split, applied after it."""
     rows, train = _rows(spark, sf_dir)
-    stages = [T.SelectColumns(regex="^(ts|click|error|purchase|late|sparse|note)$"), T.DropColumns(items="note"), T.DropAllNull(), T.DropSparse(percent=60.0),
+    stages = [T.SelectColumns(regex="^(ts|click|error|purchase|late|sparse|note)$"), T.DropColumns(items="note"), T.DropAllNull(), T.DropSparse(percent=90.0),
               T.CutOutliers(columns=COLS, bottom=0.05, top=0.9), T.FillMedian(columns=COLS), T.ScaleColumns(columns=COLS)]
     model = Pipeline(stages=stages).fit(rows.where(train))
     return finish(model.transform(rows.where(~train)))

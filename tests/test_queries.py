@@ -6,7 +6,7 @@ from sensorloom import plans
 
 MODEL_BASED = {"cluster_sweep", "density_sweep", "tuned_models_per_unit", "expect_multivariate", "model_fit_importance"}
 # rules of these leave nothing at this size
-MAY_BE_EMPTY = {"qa_ks", "qa_removed_series", "relining_stamps", "features_flotation"}
+MAY_BE_EMPTY = {"filter_predicates"}
 
 
 def test_entry(spark):
