@@ -117,7 +117,8 @@ def _host(host: str):
 
 
 def frequent_lines(rows: DataFrame, limits: Limits) -> DataFrame:
-    """``host, line, keeper``: lines above the limits; ``keeper`` is the text hash of the first document (smallest id) with it.
+    """``host, line, keeper_id, keeper_text``: lines above the limits, and the one document that keeps each: that of smallest id, of one id
+    that of smallest text hash (null ids last).
 
     A document is a doc_id of the host, or a distinct text where the id is null."""
     texts = rows.groupBy("host", "text_hash", "doc_id").agg(F.first(F.array_distinct("lines")).alias("lines"))
@@ -128,7 +129,7 @@ def frequent_lines(rows: DataFrame, limits: Limits) -> DataFrame:
     lines = lines.where(F.col("n") > limits.min_docs)
     sizes = texts.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
     lines = lines.join(sizes, "host").where(F.col("n") > F.col("n_docs") * F.lit(limits.doc_share))
-    return written(lines.select("host", "line", F.col("k.text_hash").alias("keeper")), "frequent")
+    return written(lines.select("host", "line", F.col("k.doc_id").alias("keeper_id"), F.col("k.text_hash").alias("keeper_text")), "frequent")
 
 
 def judged(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -136,15 +137,15 @@ def judged(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", t
     base_failed, n_removed_lines, n_removed_words, removed, kept``.
 
     ``removed`` lists the line hashes to take out of the text.  A line above the
-    limits stays in the first document of its host (and its exact copies), so no
-    line vanishes from the corpus.  Null and empty texts have no words and fail
+    limits stays in one document of its host, the first, so no line vanishes from
+    the corpus; copies of that document under other ids lose it like all others.  Null and empty texts have no words and fail
     the base rule; a null host is a host; repeated rows are one text.  Columns
     beside the three named are not read."""
     rows = written(facts(docs, doc_id, text, host, limits.window), "facts")
     frequent = frequent_lines(rows, limits)
     hit = rows.select("host", "text_hash", F.explode(F.arrays_zip("lines", "sizes")).alias("l"), "doc_id")
     hit = hit.select("host", "text_hash", "doc_id", F.col("l.lines").alias("line"), F.col("l.sizes").cast("long").alias("words"))
-    hit = hit.join(frequent, ["host", "line"]).where("text_hash <> keeper")
+    hit = hit.join(frequent, ["host", "line"]).where("not (doc_id <=> keeper_id and text_hash = keeper_text)")
     # repeated rows and copies hold the same lines: count each text's lines by one of its rows
     hit = hit.groupBy("host", "text_hash", "doc_id").agg(F.count("*").alias("lines"), F.sum("words").alias("words"),
                                                         F.collect_set("line").alias("removed"))
@@ -165,7 +166,9 @@ def judged(docs: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", t
 
 
 def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``documents`` without rejected rows and without the lines above the limits; ``n_chars`` follows changed texts."""
+    """``documents`` without rejected rows and without the lines above the limits; ``n_chars`` follows changed texts.
+
+    Null and empty texts fail the base rule and go; repeated rows share one verdict; an empty table gives an empty result."""
     verdict = judged(docs, limits).groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed"))
     verdict = written(verdict.where("kept").select(F.col("doc_id").alias("__sl_id"), F.col("host").alias("__sl_host"),
                                                    F.col("text_hash").alias("__sl_hash"), F.col("removed").alias("__sl_removed")), "verdicts")

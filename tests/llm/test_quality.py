@@ -20,24 +20,26 @@ def slow_facts(text):
 
 def slow(rows, lim):
     norm = lambda x: re.sub(r"\d+", "0", " ".join(WORD.findall(x.lower())))
-    texts = defaultdict(dict)
+    docs = defaultdict(dict)  # a document is an id, or a text without one
     for d, t, s in rows:
-        k = (d is None, d or 0)
-        texts[s][t] = min(texts[s].get(t, k), k)
+        docs[s].setdefault((d is None, d or 0, t if d is None else ""), set()).add(t)
     bad = {}
-    for s, ts in texts.items():
-        holders = defaultdict(list)
-        for t, k in ts.items():
-            for line in {norm(x) for x in (t or "").split("\n")} - {""}:
-                holders[line].append((k, t))
+    for s, ds in docs.items():
+        holders = defaultdict(set)
+        for k, ts in ds.items():
+            for t in ts:
+                for line in {norm(x) for x in (t or "").split("\n")} - {""}:
+                    holders[line].add((k, t))
         for line, who in holders.items():
-            if len(who) > lim.min_docs and len(who) > lim.doc_share * len(ts):
-                bad[s, line] = min(who, key=lambda x: x[0])[1]
+            n = len({k for k, _ in who})
+            if n > lim.min_docs and n > lim.doc_share * len(ds):
+                k, t = min(who)
+                bad[s, line] = (None if k[0] else k[1], t)
     out = []
     for d, t, s in rows:
         f = slow_facts(t)
         failed = f[0] < 20 or 100 * f[4] > 30 * f[0]
-        gone = [x for x in (t or "").split("\n") if (s, norm(x)) in bad and bad[s, norm(x)] != t]
+        gone = [x for x in (t or "").split("\n") if (s, norm(x)) in bad and bad[s, norm(x)] != (d, t)]
         words = sum(len(WORD.findall(x)) for x in gone)
         out.append((d, *f, failed, not failed and words <= f[0] * lim.depleted_share, len(gone), words))
     return sorted(out, key=str)
@@ -88,4 +90,16 @@ def test_shared_line_goes_in_a_host_of_any_size(spark):
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
     got = {r.doc_id: r.n_removed_lines for r in q.judged(df).collect()}
     assert [got[i] for i in range(22)] == [0] + [1] * 11 + [0] * 10
-    assert got[2000] == 1 and all(got[1000 + i] == 0 for i in range(15))  # copies of the first holder keep it
+    assert got[2000] == 1 and [got[1000 + i] for i in range(15)] == [0] + [2] * 14  # one document keeps both lines of the copied text
+
+
+def test_copies_of_the_first_holder_lose_its_lines(spark):
+    w = lambda i: " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k)}" for k in range(25))
+    shared = " ".join(f"line{k}" for k in range(61))
+    data = [(i, shared + "\n" + w(0), "h") for i in range(1000)] + [(2000 + i, shared + "\n" + w(i + 1), "h") for i in range(20)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.n_removed_lines, r.kept) for r in q.judged(df).collect()}
+    assert got[0] == (0, True)
+    assert all(got[i] == (2, False) for i in range(1, 1000)) and all(got[2000 + i] == (1, False) for i in range(20))
+    left = q.clean(df).collect()
+    assert [r.doc_id for r in left] == [0] and left[0].text == data[0][1]
