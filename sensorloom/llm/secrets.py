@@ -166,11 +166,14 @@ def findings(docs: DataFrame, words: Dictionary, doc_id: str = "doc_id", text: s
 
 
 def fit(labelled: DataFrame, sample_rows: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 11):
-    """A forest fitted on about ``sample_rows`` of each label of ``labelled(label, x)``, or None without both labels.
+    """A forest fitted on about ``sample_rows`` different findings of each label of ``labelled(label, x)``, or None without both labels.
 
-    The draw is by hash and the rows are ordered, so that equal tables give equal forests."""
+    Equal findings are one row with their number as its weight: copies are not drawn together or left out
+    together, and a hot one is no more than a row.  The draw is by hash and the rows are ordered, so that equal
+    tables give equal forests; both labels are checked again after it."""
+    distinct = labelled.where("label IS NOT NULL").groupBy("label", "x").agg(F.count("*").cast("double").alias("weight"))
     key = F.xxhash64(F.col("x").cast("string"), F.lit(seed))
-    rows = labelled.where("label IS NOT NULL").select("label", array_to_vector("x").alias("v"), key.alias("k"))
+    rows = written(distinct.select("label", array_to_vector("x").alias("v"), "weight", key.alias("k")), "labelled")
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if set(sizes) < {0.0, 1.0}:
         return None
@@ -178,7 +181,9 @@ def fit(labelled: DataFrame, sample_rows: int = 20_000, trees: int = 40, depth:
     for value, n in sizes.items():
         wanted = wanted | ((F.col("label") == value) & (F.pmod(F.col("k"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample_rows / n))))
     sample = written(rows.where(wanted).repartition(1).sortWithinPartitions("k", "label"), "sample")
-    return RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed).fit(sample.coalesce(1))
+    if sample.select("label").distinct().count() < 2:
+        return None
+    return RandomForestClassifier(featuresCol="v", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed).fit(sample.coalesce(1))
 
 
 def scored(found: DataFrame, model) -> DataFrame:
@@ -203,7 +208,9 @@ def secrets(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
 
 
 def redact(docs: DataFrame, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """``documents`` with every secret replaced by ``mark``; no row goes, ``n_chars`` follows changed texts."""
+    """``documents`` with every secret replaced by ``mark``; no row goes, ``n_chars`` follows changed texts.
+
+    Null and empty texts stay as they are; repeated rows change alike; an empty table gives an empty result."""
     found = secrets(docs, threshold=threshold).where("size(spans) > 0")
     found = written(found.select(F.col("doc_id").alias("__sl_id"), F.col("text_hash").alias("__sl_hash"), F.col("spans").alias("__sl_spans")), "secrets")
     rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__sl_id")) & (F.xxhash64(docs["text"]) == F.col("__sl_hash")), "left")

@@ -1,6 +1,8 @@
 """Secret scan: candidates against a plain version, planted secrets, held-out accuracy."""
 import random
 
+from pyspark.sql import functions as F
+
 from sensorloom.llm import secrets as sec
 
 HEX = "0123456789abcdef"
@@ -84,3 +86,13 @@ def test_forest_decides_what_a_seed_labels(spark):
     given = found.join(truth, "doc_id").drop("label").withColumnRenamed("truth", "label").where("doc_id < 160")
     got = {r.doc_id: len(r.spans) for r in sec.secrets(df, labelled=given).collect()}
     assert got == {d: int(s) for d, _, _, s in rows}
+
+
+def test_copies_weigh_but_are_one_row_of_the_draw(spark):
+    width = len(sec.features("x" * 20, "", "", "", sec.Dictionary([])))
+    rows = [(1.0, [1.0] * width)] * 400 + [(0.0, [float(k)] + [0.0] * (width - 1)) for k in range(500)]
+    df = spark.createDataFrame(rows, "label double, x array<double>")
+    model = sec.fit(df, sample_rows=50)
+    got = {tuple(r.x): r.score for r in sec.scored(df.withColumn("start", F.lit(0)), model).collect()}
+    assert got[(1.0,) * width] > 0.5 and sum(v > 0.5 for v in got.values()) < 25
+    assert sec.fit(df.where("label = 1"), sample_rows=50) is None
