@@ -139,12 +139,13 @@ def selected(cands: DataFrame, sample_rows: int = 20_000, precision: float = 0.9
     """``doc_id, text_hash, start, kind, end`` of the undecided proposals above their generator's threshold.
 
     The trees are fitted on about ``sample_rows`` labelled proposals, drawn by a
-    hash of their place; three in ten of those calibrate instead.  A generator's
+    hash of their document and place; three in ten of those calibrate instead.  A generator's
     threshold is the lowest score (in hundredths) from which ``precision`` of
     its held-out labels are positive; without such a score, or without labels
     of both classes, it adds nothing.  Equal places in repeated rows count once."""
     names = [c for c in cands.columns if c.startswith("f_")]
-    draw = F.pmod(F.xxhash64("text_hash", "start", "end", "generator", F.lit(seed)), F.lit(1_000_000))
+    # with the id: the copies of a text are drawn one by one, not all or none
+    draw = F.pmod(F.xxhash64("doc_id", "text_hash", "start", "end", "generator", F.lit(seed)), F.lit(1_000_000))
     cands = cands.dropDuplicates(["doc_id", "text_hash", "generator", "start", "end"])
     none = cands.select("doc_id", "text_hash", "start", "kind", "end").limit(0)
     cands = written(VectorAssembler(inputCols=names, outputCol="x").transform(cands.withColumn("draw", draw)).drop(*names), "candidates")
