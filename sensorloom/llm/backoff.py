@@ -86,7 +86,7 @@ def gram_tables(train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oo
 
 # ------------------------------------------------------------------ under the counts of the other half
 #: bytes of text in a block, and distinct n-grams of all blocks in a range of the count table, both about
-BLOCK_BYTES, RANGE_GRAMS = 16 << 20, 1 << 21
+BLOCK_BYTES, RANGE_GRAMS = 8 << 20, 1 << 21
 #: A-Z become a-z, what stands between words becomes a blank; bytes of other characters stay
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
