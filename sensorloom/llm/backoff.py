@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm.decontaminate import words_of
-from sensorloom.session import discard, written
+from sensorloom.session import discard, settings, written
 from sensorloom.sources.tables import table
 
 ORDER, WEIGHT, OOV = 3, 0.4, 0.5
@@ -86,7 +86,7 @@ def gram_tables(train: DataFrame, order: int = ORDER, weight: float = WEIGHT, oo
 
 # ------------------------------------------------------------------ under the counts of the other half
 #: bytes of text in a block, and distinct n-grams of all blocks in a range of the count table, both about
-BLOCK_BYTES, RANGE_GRAMS = 8 << 20, 1 << 21
+BLOCK_BYTES, RANGE_GRAMS = 4 << 20, 1 << 21
 #: A-Z become a-z, what stands between words becomes a blank; bytes of other characters stay
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -191,7 +191,9 @@ def other_half(blocks: DataFrame, orders: list[int], bits: int) -> DataFrame:
                              "counts": [_whole(found[e - m: e]) for e, m in zip(end, sizes)]})
     kind = "k int, part int, half int, block int, keys binary, n binary"
     sent = blocks.select("half", "block", "vocabulary", "ids", "sizes", "copies").mapInPandas(send, kind)
-    return written(sent.groupBy("k", "part").applyInPandas(answer, "half int, block int, k int, part int, n long, counts binary"), "answers")
+    answers = sent.groupBy("k", "part").applyInPandas(answer, "half int, block int, k int, part int, n long, counts binary")
+    with settings(blocks.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="4"):  # a row is a block
+        return written(answers, "answers")
 
 
 def held_out_scores(docs: DataFrame, order: int = ORDER, weight: float = WEIGHT, oov: float = OOV) -> DataFrame:
