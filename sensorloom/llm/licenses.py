@@ -58,6 +58,13 @@ SENTENCES = {
     **{f"Gpl{v}Later": f"either version {v} of the license or at your option any later version" for v in (2, 3)},
     **{f"Gpl{v}You": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
                      f"foundation either version {v} of the license or at your option any later version" for v in (2, 3)},
+    **{f"Gpl{v}Only": "you can redistribute it and or modify it under the terms of the gnu general public license "
+                      f"version {v} as published by the free software foundation" for v in (2, 3)},
+    "LgplTerms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "Lgpl21Later": "either version 2.1 of the license or at your option any later version",
+    **{f"{n}3You": f"you can redistribute it and or modify it under the terms of the gnu {kind} general public license as published by the free software "
+                   "foundation either version 3 of the license or at your option any later version" for n, kind in (("Lgpl", "lesser"), ("Agpl", "affero"))},
+    "AgplTerms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
     "GplHopeBut": "this program is distributed in the hope that it will be useful but without any warranty",
     "GplWithoutEven": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "Mpl2Terms": "this source code form is subject to the terms of the mozilla public license v",
@@ -86,6 +93,9 @@ RULES = [
     ("GPL-2.0-or-later", ["GplFree"]),
     *[(f"GPL-{v}.0-or-later", [*head, *tail]) for v in (3, 2) for head in ([f"Gpl{v}You"], ["GplTerms", f"Gpl{v}Later"])
       for tail in (["GplHopeBut", "GplWithoutEven", "GplSee", "GplReceived"], [])],
+    ("LGPL-2.1-or-later", ["LgplTerms", "Lgpl21Later"]),
+    *[(f"{name}-3.0-or-later", ids) for name, n in (("LGPL", "Lgpl"), ("AGPL", "Agpl")) for ids in ([f"{n}Terms", "Gpl3Later"], [f"{n}3You"])],
+    *[(f"GPL-{v}.0-only", [f"Gpl{v}Only"]) for v in (2, 3)],
     ("MPL-2.0", ["Mpl2Subject", "Mpl2Obtain"]),
     ("MPL-2.0", ["Mpl2Subject"]),
     # 'v. 2.0.' leaves '2.0' between these; the wording is that of version 2.0 only
@@ -111,6 +121,9 @@ CUES = ["licen", "cc0", "warrant", "permission", "redistribut", "copyright", "do
 # A list number after the end of a sentence goes with the end.
 ENDS = r"[.!?:;]+([\x20\x09-\x0D]+|\z)([#*/\x20\x09-\x0D]*[(]?[0-9]{1,2}[.)][\x20\x09-\x0D]+)?"
 NOISE = r"[^a-z0-9.\n]+"
+# A sentence with a hole for the holder's name, which may end in a stop ('Inc.'), and the same with the name of the table.
+HOLDER = r"neither the name of [^\n]{1,120}( |\n ?)nor the names of (its|their) contributors"
+ANY_HOLDER = "neither the name of the copyright holder nor the names of its contributors"
 
 
 def tagged(sequence: list[str]) -> str:
@@ -124,7 +137,7 @@ def _normal(text: Column) -> Column:
 def _sequence(lower: Column, unwrap: bool) -> Column:
     """``<id><id>…`` of the sentences in order; ``<?>`` for others that speak of a licence, ``<.>`` between for the rest."""
     lines = F.translate(lower, "\n", " ") if unwrap else lower
-    plain = F.regexp_replace(F.regexp_replace(lines, ENDS, "\n"), NOISE, " ")
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(lines, ENDS, "\n"), NOISE, " "), HOLDER, ANY_HOLDER)
     known = F.create_map(*[F.lit(x) for s, t in SENTENCES.items() for x in (t, f"<{s}>")])
     sentences = F.filter(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), lambda s: s != "")
     tags = F.transform(sentences, lambda s: F.coalesce(F.try_element_at(known, s), F.when(s.rlike("licen|copyright"), "<?>"), F.lit("<.>")))
@@ -177,7 +190,7 @@ def _sql() -> str:
     known = "MAP {" + ", ".join(f"{q(t)}: {q(f'<{s}>')}" for s, t in SENTENCES.items()) + "}"
 
     def seq(lines: str) -> str:
-        plain = f"regexp_replace(regexp_replace({lines}, '{ENDS}', chr(10), 'g'), '{NOISE}', ' ', 'g')"
+        plain = f"regexp_replace(regexp_replace(regexp_replace({lines}, '{ENDS}', chr(10), 'g'), '{NOISE}', ' ', 'g'), '{HOLDER}', '{ANY_HOLDER}', 'g')"
         return (f"array_to_string(list_transform(list_filter(list_transform(string_split({plain}, chr(10)), lambda s: trim(s)), lambda s: s <> ''), "
                 f"lambda s: coalesce({known}[s], CASE WHEN regexp_matches(s, 'licen|copyright') THEN '<?>' ELSE '<.>' END)), '')")
 

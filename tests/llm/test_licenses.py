@@ -23,7 +23,9 @@ def slow_sequence(text, unwrap):
     t = re.sub("[.!?:;]+([ \t\n\v\f\r]+|\\Z)", "\n", t)
     known = {v: k for k, v in lic.SENTENCES.items()}
     out = []
-    for s in re.sub("[^a-z0-9.\n]+", " ", t).split("\n"):
+    plain = re.sub("neither the name of [^\n]{1,120}(?: |\n ?)nor the names of (?:its|their) contributors",
+                   "neither the name of the copyright holder nor the names of its contributors", re.sub("[^a-z0-9.\n]+", " ", t))
+    for s in plain.split("\n"):
         if s := s.strip(" "):
             out.append(known.get(s) or ("?" if "licen" in s or "copyright" in s else "."))
     return out
@@ -109,3 +111,27 @@ def test_standard_notices(spark):
     got = {r.doc_id: r for r in lic.licenses(df).collect()}
     assert [got[i].licenses for i in range(len(cases))] == [[name] for name, _ in cases]
     assert all(got[i].n_unmatched == 0 for i, (_, t) in enumerate(cases) if t.count("\n") == 1), "notices on one line"
+
+
+LATER = """This {what} is free software{cut} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{comma} either version {v} of the License, or
+(at your option) any later version."""
+
+
+def test_other_families_and_holders(spark):
+    texts = {"LGPL-2.1-or-later": [LATER.format(what="library", cut=";", kind="Lesser ", comma=";", v="2.1")],
+             "LGPL-3.0-or-later": [LATER.format(what="library", cut=":", kind="Lesser ", comma=",", v="3")],
+             "AGPL-3.0-or-later": [LATER.format(what="program", cut=":", kind="Affero ", comma=c, v="3") for c in ",;"],
+             "GPL-2.0-only": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License\n"
+                              "version 2 as published by the Free Software Foundation."],
+             "BSD-3-Clause": [BSD3.replace("the copyright holder nor the names of its", f"{who} nor the names of {whose}")
+                              for who in ("Google Inc.", "the University of Somewhere", "Acme, Ltd.") for whose in ("its", "their")]}
+    cases = [(name, "Some words.\n" + wrap(t)) for name, ts in texts.items() for t in ts for wrap in (str, lambda t: t.replace("\n", " "))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")
+    got = {r.doc_id: r for r in lic.licenses(df).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [[name] for name, _ in cases]
+    for i, (name, t) in enumerate(cases):
+        if name == "BSD-3-Clause":
+            continue  # the plain version does not take list numbers away
+        assert (got[i].sentences, got[i].licenses, got[i].n_unmatched, got[i].n_unknown) == slow(t)
