@@ -1,9 +1,9 @@
 """Deterministic sharded WARC writer and reader (operator 2).
 
-Order and shards come from the data alone, not from sampling: page ids are cut
-into ranges of about ``shard_bytes`` of payload by exact byte sums over id
-blocks, each range is one sorted shard, and a shard rolls to a new file when the
-compressed size passes ``file_bytes``.  Every record is a gzip member with no
+Order and shards come from the data alone: records are put in the order of page
+id, digest and url, exact running sums of their bytes cut it into shards of
+about ``shard_bytes``, whatever the ids (far apart, repeated or missing), and a
+shard rolls to a new file when the compressed size passes ``file_bytes``.  Every record is a gzip member with no
 time stamp, a fixed date and an id made from its content, so the same table
 gives the same bytes.
 
@@ -23,8 +23,9 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ from sensorloom.session import scratch_path, settings, written
 from sensorloom.sources.tables import table
 
 MIN_REVISIT = 100
+MAX_TASKS = 20_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -109,24 +111,75 @@ def resolved(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     return rows.select("page_id", "url", "html", "digest", "bytes", F.when(revisit, F.col("first")).alias("refers_to"))
 
 
-def with_shards(rows: DataFrame, shard_bytes: int, blocks: int = 4096) -> DataFrame:
-    """``rows`` with ``shard``: ranges of page ids of about ``shard_bytes`` of payload each; rows without an id come last."""
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return rows.withColumn("shard", F.lit(0).cast("long"))
-    width = max(1, -(-(high - low + 1) // blocks))
-    block = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(blocks)).cast("long")
-    size = F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(0) + 512
-    # at most blocks + 1 rows, so one task may order them
-    sums = rows.select(block.alias("block"), size.alias("size")).groupBy("block").agg(F.sum("size").alias("size"))
-    bound, total, shard = [], 0, 0
-    for b, s in sorted(tuple(r) for r in sums.collect()):
-        if total and total + s > shard_bytes:
-            shard, total = shard + 1, 0
-        total += s
-        bound.append((b, shard))
-    bounds = rows.sparkSession.createDataFrame(bound, "block long, shard long")
-    return rows.withColumn("block", block).join(F.broadcast(bounds), "block").drop("block")
+def running_bytes(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``size`` over all rows that come earlier in ``order`` (unique, nulls last).
+
+    Rows are sorted by range and written with their range's number; a range adds up its own, and a table of one row
+    per range says where each starts, so no task sees more than a range."""
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    parts = written(rows.repartitionByRange(n, *keys).withColumn("part", F.spark_partition_id()), name)
+    ahead = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per range
+    starts = parts.groupBy("part").agg(F.sum("size").alias("size"))
+    starts = starts.select(F.col("part").alias("of"), ahead(Window.orderBy("part")).alias("start"))
+    own = parts.withColumn("own", ahead(Window.partitionBy("part").orderBy(*keys)))
+    return own.join(F.broadcast(starts), F.col("part") == F.col("of")).select(*rows.columns, (F.col("own") + F.col("start")).alias("before"))
+
+
+def with_shards(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``shard`` and ``copy``, and the number of shards: stretches of about ``shard_bytes`` of payload in the
+    order page id (nulls last), digest, url.
+
+    A row's shard is the sum of the bytes before it over ``shard_bytes``.  For most rows the bytes before their id decide,
+    looked up among the first ids of the shards (8 bytes on the driver for each ``shard_bytes`` of payload).  An id, or no
+    id, with more than ``shard_bytes`` of its own is cut inside: its different records are counted and sorted too, and
+    equal ones are laid out as often as they occur, so ``copy`` (null elsewhere) numbers them across shards."""
+    cost = F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(0) + 512
+    ids = written(rows.groupBy("page_id").agg(F.sum(cost).alias("size")), "id-bytes")
+    laid = written(running_bytes(ids, ["page_id"], "id-ranges"), "id-starts")
+    laid = laid.withColumn("shard", F.floor(F.col("before") / F.lit(shard_bytes)).cast("long"))
+    firsts = sorted((r.shard, r.page_id) for r in laid.groupBy("shard").agg(F.min("page_id").alias("page_id")).collect() if r.page_id is not None)
+    total = laid.agg(F.max(F.col("before") + F.col("size"))).first()[0] or 0
+    n_shards = -(-total // shard_bytes)
+    shards, starts = (np.array([x[k] for x in firsts], dtype=np.int64) for k in (0, 1))
+    no_id = laid.where("page_id IS NULL").select("shard").first()
+
+    @F.pandas_udf("long")
+    def shard_of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(shards[np.searchsorted(starts, page_id.to_numpy(np.int64), "right") - 1])
+
+    shard = F.lit(no_id.shard if no_id else 0).cast("long")
+    if len(shards):
+        # every id looks itself up; rows without one ask for the first id and do not use the answer
+        shard = F.when(F.col("page_id").isNull(), shard).otherwise(shard_of(F.coalesce(F.col("page_id"), F.lit(int(starts[0])))))
+    large = laid.where(F.col("size") > shard_bytes).select(F.col("page_id").alias("large_id"), F.col("before").alias("id_before"))
+    # at most one for each shard_bytes of payload
+    if large.isEmpty():
+        return rows.select("*", shard.alias("shard"), F.lit(None).cast("long").alias("copy")), n_shards
+    large = written(large, "large-ids")
+    is_large = F.col("page_id").eqNullSafe(F.col("large_id"))
+    rest = rows.join(F.broadcast(large), is_large, "left_anti").select("*", shard.alias("shard"), F.lit(None).cast("long").alias("copy"))
+    inside = rows.join(F.broadcast(large), is_large)
+    key = ["page_id", "digest", "url"]
+    once = inside.groupBy(*key).agg(F.first("html").alias("html"), F.first("bytes").alias("bytes"), F.first("refers_to").alias("refers_to"),
+                                    F.first("id_before").alias("id_before"), F.count("*").alias("n"))
+    once = written(once.withColumn("each", cost), "large-records")
+    sizes = once.select(*key, "n", "each", "id_before", (F.col("n") * F.col("each")).alias("size"))
+    run = written(running_bytes(sizes, key, "large-ranges").withColumnRenamed("before", "at"), "large-starts")
+    run = written(running_bytes(run.drop("size").withColumn("size", F.col("n")), key, "large-counts").drop("size"), "large-numbers")
+    # bytes before the record inside its id, and records before it with the same id and payload
+    by_id = run.groupBy(F.col("page_id").alias("i")).agg(F.min("at").alias("first_at"))
+    by_payload = run.groupBy(F.col("page_id").alias("p"), F.col("digest").alias("d")).agg(F.min("before").alias("first_record"))
+    run = run.join(F.broadcast(by_id), F.col("page_id").eqNullSafe(F.col("i")))
+    run = run.join(by_payload, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
+    run = run.select(F.col("page_id").alias("i"), F.col("digest").alias("d"), F.col("url").alias("u"),
+                     (F.col("id_before") + F.col("at") - F.col("first_at")).alias("at"), (F.col("before") - F.col("first_record")).alias("number"))
+    same = F.col("page_id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")) & F.col("url").eqNullSafe(F.col("u"))
+    cut = once.join(run, same).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"))
+    cut = cut.withColumns({"shard": F.floor((F.col("at") + F.col("k") * F.col("each")) / F.lit(shard_bytes)).cast("long"),
+                           "copy": F.col("number") + F.col("k")})
+    return rest.unionByName(cut.select(rest.columns)), n_shards
 
 
 MANIFEST = "shard long, seq long, name string, temporary string, records long, bytes long, sha256 string, first_page long, last_page long"
@@ -138,14 +191,16 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = 64 << 20, sh
 
     Null html is an empty payload, a null url an empty header; a record larger
     than ``file_bytes`` has a file of its own.  An empty table commits an empty
-    manifest.  Other columns are not read."""
+    manifest.  Rows without an id come last; repeated rows are records of their own.  Other columns are not read."""
     spark = pages.sparkSession
-    rows = with_shards(resolved(pages, min_revisit), shard_bytes)
-    order = ["shard", F.col("page_id").asc_nulls_last(), "digest", "url"]
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartition(n, "shard").sortWithinPartitions(*order)
+    rows, n_shards = with_shards(resolved(pages, min_revisit), shard_bytes)
+    order = ["shard", F.col("page_id").asc_nulls_last(), "digest", F.col("url").asc_nulls_last(), "copy"]
+    # a task has whole shards, and neighbouring ones: one each up to MAX_TASKS
+    tasks = min(max(1, n_shards), MAX_TASKS)
+    task = F.floor(F.col("shard") * F.lit(tasks) / F.lit(max(1, n_shards))).cast("int")
+    rows = rows.repartitionById(tasks, task).sortWithinPartitions(*order)
     # ids travel as text: pandas would turn a column with nulls into floats
-    rows = rows.withColumns({"page_id": F.col("page_id").cast("string"), "refers_to": F.col("refers_to").cast("string")})
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to", "copy")})
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = filesystem(folder)
@@ -158,9 +213,10 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = 64 << 20, sh
             return _frame([facts.values()], list(facts), ["first_page", "last_page"])
 
         for pdf in batches:
-            for page, url, html, digest, ref, shard in zip(pdf.page_id, pdf.url, pdf.html, pdf.digest, pdf.refers_to, pdf.shard):
-                page, ref = (None if x is None else int(x) for x in (page, ref))
-                copy = last[2] + 1 if last and last[:2] == (page, digest) else 0
+            for page, url, html, digest, ref, shard, copy in zip(pdf.page_id, pdf.url, pdf.html, pdf.digest, pdf.refers_to, pdf.shard, pdf["copy"]):
+                page, ref, copy = (None if x is None else int(x) for x in (page, ref, copy))
+                if copy is None:
+                    copy = last[2] + 1 if last and last[:2] == (page, digest) else 0
                 last = (page, digest, copy)
                 data = member(record(page, url, bytes(html), digest, ref, copy), level)
                 if out is not None and (facts["shard"] != shard or facts["bytes"] + len(data) > file_bytes):

@@ -45,6 +45,31 @@ def test_round_trip_and_bytes(spark, tmp_path):
     assert pages == sorted(pages)
 
 
+def test_shards_hold_their_size_whatever_the_ids(spark, tmp_path):
+    """An outlier beside dense ids, a third of the rows without an id, one id repeated in equal and in different rows."""
+    body = lambda k: f"{k} ".ljust(400, ".")
+    pages = [(i, f"http://d/{i}", body(i)) for i in range(200)] + [(10 ** 12, "far", body("far")), (-(10 ** 15), "near", body("near"))]
+    pages += [(None, f"n{k % 7}" if k % 2 else None, body(k % 50)) for k in range(150)]
+    pages += [(77, "same", body("same"))] * 100 + [(78, f"u{k % 3}", body("one")) for k in range(60)] + [(79, None, body(f"v{k}")) for k in range(60)]
+    a = warc.write_archives(frame(spark, pages), str(tmp_path / "a"), shard_bytes=10_000).orderBy("name").collect()
+    b = warc.write_archives(frame(spark, pages[::-1]).repartition(9), str(tmp_path / "b"), shard_bytes=10_000).orderBy("name").collect()
+    assert a == b
+    got = warc.read_archives(spark, str(tmp_path / "a"), payloads=True)
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()), key=str) == slow(pages)
+    # a record is 912 bytes, a revisit 512; a shard ends at most an id of its own size late
+    assert max(r.records for r in a) <= 2 * 10_000 // 512 + 1 and len(a) >= 40
+    seen, heads = set(), []
+    for r in a:
+        with gzip.open(tmp_path / "a" / r.name) as f:
+            heads += [head for head, _ in warc.read_records(f)]
+    seen = {h["WARC-Record-ID"] for h in heads}
+    assert len(heads) == len(pages) == len(seen)
+    order = [(h.get("X-Page-Id") is None, int(h.get("X-Page-Id", 0)), h["WARC-Payload-Digest"]) for h in heads]
+    assert order == sorted(order)
+    targets = {h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
+    assert all(h["WARC-Refers-To"] in targets for h in heads if h["WARC-Type"] == "revisit")
+
+
 def test_only_committed_files_are_read(spark, tmp_path):
     folder = str(tmp_path / "w")
     with pytest.raises(FileNotFoundError):
