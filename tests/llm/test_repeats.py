@@ -68,3 +68,35 @@ def test_minimisers():
 
 def test_empty(spark):
     assert rp.repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_runs_of_the_sorted_array(spark):
+    """Two suffixes have one number at a depth if and only if they share as many words, wherever the ranges are cut."""
+    rng = random.Random(4)
+    texts = sorted({" ".join(rng.choices("ab", k=rng.randint(1, 9))) + " " for _ in range(300)} | {"a " * k for k in range(1, 10)})
+    rows = [(str(i).encode(), t.encode(), 1 + i % 2, 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "key binary, words binary, n long, least int").repartition(5)
+    got = {int(bytes(r.key)): r.classes for r in rp.neighbour_classes(df, 9, "array-test").collect()}
+    assert len(got) == len(texts)
+    for d in range(10):
+        groups = {}
+        for i, t in enumerate(texts):
+            w = t.split()
+            if len(w) >= d and len(got[i]) > d:
+                groups.setdefault(tuple(w[:d]), set()).add(got[i][d])
+        assert all(len(g) == 1 for g in groups.values())
+        assert len({min(g) for g in groups.values()}) == len(groups)
+        # no depth that another suffix shares is left out
+        shared = Counter(tuple(t.split()[:d]) for t in texts if len(t.split()) >= d)
+        assert all(len(got[i]) > d for i, t in enumerate(texts) if len(t.split()) >= d and shared[tuple(t.split()[:d])] > 1)
+
+
+def test_passage_in_many_documents_and_a_long_text(spark):
+    rng = random.Random(5)
+    shared = [f"s{k}" for k in range(58)]
+    own = lambda d, n: [f"d{d}w{k}" for k in range(n)]
+    rows = [(d, " ".join(own(d, rng.randint(0, 40)) + shared[rng.randint(0, 4):] + own(-d - 1, rng.randint(0, 40)))) for d in range(400)]
+    rows += [(1000, " ".join(own(1000, 30_000) + shared + own(1001, 30_000) + shared[3:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in rp.repeats(df).collect()), key=str)
+    assert got == slow(rows, 50)
