@@ -78,13 +78,49 @@ SENTENCES = {
     "PublicDomain": "this work is in the public domain",
     "Unlicense": "this is free and unencumbered software released into the public domain",
     "Reserved": "all rights reserved",
+    "IscGrantAnd": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that "
+                   "the above copyright notice and this permission notice appear in all copies",
+    "ZeroBsdGrant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "BsdAdvert": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "BsdProduct": "this product includes software developed by the holder",
+    "ApacheEndUser": "the end user documentation included with the redistribution if any must include the following acknowledgment",
+    "ZlibAsIs": "this software is provided as is without any express or implied warranty",
+    "ZlibLiable": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "ZlibGrant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+                 "redistribute it freely subject to the following restrictions",
+    "BoostShort": "distributed under the boost software license version 1.0",
+    "BoostTitle": "boost software license version 1.0 august 17th 2003",
+    "BoostGrant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying "
+                  "documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to "
+                  "prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "Epl1": "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0 which accompanies this "
+            "distribution and is available at http www.eclipse.org legal epl v10.html",
+    "Epl2": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at "
+            "https www.eclipse.org legal epl 2.0",
+    "Mpl11Subject": "the contents of this file are subject to the mozilla public license version 1.1 the license",
+    "PerlTerms": "you can redistribute it and or modify it under the same terms as perl itself",
+    "Artistic2": "you can redistribute it and or modify it under the terms of the the artistic license 2.0",
+    "Wtfpl": "you can redistribute it and or modify it under the terms of the do what the fuck you want to public license version 2 as published by sam hocevar",
 }
+# The licences of the Creative Commons in short and in words, versions 3.0 and 4.0.
+CC = {"by": "attribution", "by sa": "attribution sharealike", "by nc": "attribution noncommercial", "by nd": "attribution noderivatives",
+      "by nc sa": "attribution noncommercial sharealike", "by nc nd": "attribution noncommercial noderivatives"}
+CC_RULES = []
+for _short, _words in CC.items():
+    for _v, _port in (("3.0", "unported"), ("4.0", "international")):
+        _id = "Cc" + "".join(x.capitalize() for x in _short.split()) + _v[0]
+        SENTENCES.setdefault(_id, f"licensed under cc {_short} {_v}")
+        SENTENCES[f"{_id}Work"] = f"this work is licensed under a creative commons {_words} {_v} {_port} license"
+        CC_RULES += [(f"CC-{_short.upper().replace(' ', '-')}-{_v}", [x]) for x in (f"{_id}Work", _id)]
 # Licence and the sentences that show it, longest notices first.
 RULES = [
     ("Apache-2.0", ["ApacheYou", "ApacheUse", "ApacheCopy", "ApacheUrl", "ApacheAsIs", "ApacheSee"]),
     ("Apache-2.0", ["ApacheYou", "ApacheUse"]),
     ("MIT", ["MitGrant", "MitNotice", "AsIsMit", "LiabMit"]),
     ("MIT", ["MitGrant", "MitNotice"]),
+    ("BSD-4-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdAdvert", "BsdProduct", "BsdEndorse"]),
+    ("BSD-4-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdAdvert"]),
+    ("Apache-1.1", ["BsdGrant", "BsdSource", "BsdBinary", "ApacheEndUser"]),
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
     ("BSD-2-Clause", ["BsdGrant", "BsdSource", "BsdBinary"]),
     ("GPL-3.0-or-later", ["Gpl3Free", "GplHope", "GplSee", "GplReceived"]),
@@ -108,22 +144,39 @@ RULES = [
     ("MIT", ["MitShort"]),
     ("MIT", ["MitLicensed"]),
     ("GPL-3.0-only", ["Gpl3Work"]),
-    ("CC-BY-NC-4.0", ["CcByNc4"]),
-    ("CC-BY-SA-4.0", ["CcBySa4"]),
-    ("CC-BY-4.0", ["CcBy4"]),
+    *CC_RULES,
+    ("ISC", ["IscGrantAnd"]),
+    ("0BSD", ["ZeroBsdGrant"]),
+    ("Zlib", ["ZlibAsIs", "ZlibLiable", "ZlibGrant"]),
+    ("Zlib", ["ZlibGrant"]),
+    *[("BSL-1.0", [x]) for x in ("BoostGrant", "BoostTitle", "BoostShort")],
+    ("EPL-1.0", ["Epl1"]),
+    ("EPL-2.0", ["Epl2"]),
+    ("MPL-1.1", ["Mpl11Subject", "ApacheUse"]),
+    ("MPL-1.1", ["Mpl11Subject"]),
+    ("Artistic-1.0-Perl", ["PerlTerms"]),
+    ("Artistic-2.0", ["Artistic2"]),
+    ("WTFPL", ["Wtfpl"]),
     ("CC0-1.0", ["Cc0"]),
     ("Unlicense", ["Unlicense"]),
     ("public-domain", ["PublicDomain"]),
     ("all-rights-reserved", ["Reserved"]),
 ]
+# A tag 'SPDX-License-Identifier: X' is a sentence for every licence X above; its colon ends no sentence.
+TAG = "spdx-license-identifier"
+for _name in dict.fromkeys(n for n, _ in RULES):
+    if _name not in ("public-domain", "all-rights-reserved"):
+        SENTENCES["Spdx" + "".join(c for c in _name if c.isalnum())] = f"{TAG.replace('-', ' ')} {_name.lower().replace('-', ' ')}"
+        RULES.append((_name, [list(SENTENCES)[-1]]))
 # Every sentence above holds one of these, so a text without any has none of them.
-CUES = ["licen", "cc0", "warrant", "permission", "redistribut", "copyright", "domain", "reserved", "mpl"]
+CUES = ["licen", "cc0", "warrant", "permission", "redistribut", "copyright", "domain", "reserved", "mpl", "liable", "advertising", "developed by"]
 # A list number after the end of a sentence goes with the end.
 ENDS = r"[.!?:;]+([\x20\x09-\x0D]+|\z)([#*/\x20\x09-\x0D]*[(]?[0-9]{1,2}[.)][\x20\x09-\x0D]+)?"
 NOISE = r"[^a-z0-9.\n]+"
 # A sentence with a hole for the holder's name, which may end in a stop ('Inc.'), and the same with the name of the table.
 HOLDER = r"neither the name of [^\n]{1,120}( |\n ?)nor the names of (its|their) contributors"
 ANY_HOLDER = "neither the name of the copyright holder nor the names of its contributors"
+PRODUCT, ANY_PRODUCT = r"this product includes software developed by [^\n]{1,120}", "this product includes software developed by the holder"
 
 
 def tagged(sequence: list[str]) -> str:
@@ -137,7 +190,9 @@ def _normal(text: Column) -> Column:
 def _sequence(lower: Column, unwrap: bool) -> Column:
     """``<id><id>…`` of the sentences in order; ``<?>`` for others that speak of a licence, ``<.>`` between for the rest."""
     lines = F.translate(lower, "\n", " ") if unwrap else lower
+    lines = F.replace(lines, F.lit(TAG + ":"), F.lit(TAG))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(lines, ENDS, "\n"), NOISE, " "), HOLDER, ANY_HOLDER)
+    plain = F.regexp_replace(plain, PRODUCT, ANY_PRODUCT)
     known = F.create_map(*[F.lit(x) for s, t in SENTENCES.items() for x in (t, f"<{s}>")])
     sentences = F.filter(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), lambda s: s != "")
     tags = F.transform(sentences, lambda s: F.coalesce(F.try_element_at(known, s), F.when(s.rlike("licen|copyright"), "<?>"), F.lit("<.>")))
@@ -190,7 +245,8 @@ def _sql() -> str:
     known = "MAP {" + ", ".join(f"{q(t)}: {q(f'<{s}>')}" for s, t in SENTENCES.items()) + "}"
 
     def seq(lines: str) -> str:
-        plain = f"regexp_replace(regexp_replace(regexp_replace({lines}, '{ENDS}', chr(10), 'g'), '{NOISE}', ' ', 'g'), '{HOLDER}', '{ANY_HOLDER}', 'g')"
+        plain = f"regexp_replace(regexp_replace(replace({lines}, '{TAG}:', '{TAG}'), '{ENDS}', chr(10), 'g'), '{NOISE}', ' ', 'g')"
+        plain = f"regexp_replace(regexp_replace({plain}, '{HOLDER}', '{ANY_HOLDER}', 'g'), '{PRODUCT}', '{ANY_PRODUCT}', 'g')"
         return (f"array_to_string(list_transform(list_filter(list_transform(string_split({plain}, chr(10)), lambda s: trim(s)), lambda s: s <> ''), "
                 f"lambda s: coalesce({known}[s], CASE WHEN regexp_matches(s, 'licen|copyright') THEN '<?>' ELSE '<.>' END)), '')")
 

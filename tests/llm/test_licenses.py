@@ -20,11 +20,12 @@ def slow_sequence(text, unwrap):
     t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").replace("licence", "license")
     if unwrap:
         t = t.replace("\n", " ")
-    t = re.sub("[.!?:;]+([ \t\n\v\f\r]+|\\Z)", "\n", t)
+    t = re.sub("[.!?:;]+([ \t\n\v\f\r]+|\\Z)", "\n", t.replace("spdx-license-identifier:", "spdx-license-identifier"))
     known = {v: k for k, v in lic.SENTENCES.items()}
     out = []
     plain = re.sub("neither the name of [^\n]{1,120}(?: |\n ?)nor the names of (?:its|their) contributors",
                    "neither the name of the copyright holder nor the names of its contributors", re.sub("[^a-z0-9.\n]+", " ", t))
+    plain = re.sub("this product includes software developed by [^\n]{1,120}", "this product includes software developed by the holder", plain)
     for s in plain.split("\n"):
         if s := s.strip(" "):
             out.append(known.get(s) or ("?" if "licen" in s or "copyright" in s else "."))
@@ -135,3 +136,55 @@ def test_other_families_and_holders(spark):
         if name == "BSD-3-Clause":
             continue  # the plain version does not take list numbers away
         assert (got[i].sentences, got[i].licenses, got[i].n_unmatched, got[i].n_unknown) == slow(t)
+
+
+def test_more_families_and_tags(spark):
+    bsd4 = BSD2 + """
+3. All advertising materials mentioning features or use of this software must
+   display the following acknowledgement:
+   This product includes software developed by the University of Somewhere.
+
+4. Neither the name of the University nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+    apache1 = BSD2 + """
+3. The end-user documentation included with the redistribution, if any, must
+   include the following acknowledgment:
+   "This product includes software developed by the Apache Software Foundation (http://www.apache.org/)."
+"""
+    zlib = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+    epl1 = """This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html"""
+    mpl1 = """The contents of this file are subject to the Mozilla Public License Version
+1.1 (the "License"); you may not use this file except in compliance with
+the License."""
+    texts = {"BSD-4-Clause": [bsd4], "Apache-1.1": [apache1], "Zlib": [zlib], "EPL-1.0": [epl1], "MPL-1.1": [mpl1],
+             "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)"],
+             "ISC": ["Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the "
+                     "above\ncopyright notice and this permission notice appear in all copies."],
+             "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted."],
+             "WTFPL": ["This work is free. You can redistribute it and/or modify it under the\nterms of the Do What The Fuck You Want To Public License, "
+                       "Version 2,\nas published by Sam Hocevar."],
+             "Artistic-1.0-Perl": ["This library is free software; you can redistribute it and/or modify\nit under the same terms as Perl itself."],
+             "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
+             "CC-BY-NC-ND-3.0": ["This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 3.0 Unported License."],
+             **{n: [f"/* SPDX-License-Identifier: {n} */\nint x;"] for n in ("MIT", "GPL-2.0-only", "GPL-2.0-or-later", "EPL-2.0", "BSD-3-Clause", "Apache-2.0")}}
+    cases = [(n, "Some words.\n" + t) for n, ts in texts.items() for t in ts]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")
+    got = {r.doc_id: r for r in lic.licenses(df).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [[name] for name, _ in cases]
+    for i, (name, t) in enumerate(cases):
+        if "\n1. " not in t:  # the plain version does not take list numbers away
+            assert (got[i].sentences, got[i].licenses, got[i].n_unmatched, got[i].n_unknown) == slow(t)
+    # a tag with a plus is of no known licence, and a name alone is no tag
+    odd = spark.createDataFrame([(1, "SPDX-License-Identifier: GPL-2.0+"), (2, "All of MIT. A licence.")], "doc_id int, text string")
+    assert all(r.licenses == [] for r in lic.licenses(odd).collect())
