@@ -111,7 +111,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, dr
     """``documents`` without benchmark passages: hit words go, and documents with more than ``drop_share`` of them.
 
     Text outside the hit spans stays as it is; ``n_chars`` is set anew in
-    changed rows if the table has it.  Rows without hits pass unchanged."""
+    changed rows if the table has it.  Rows without hits pass unchanged, null
+    and empty texts among them; repeated rows change alike; either table may be
+    empty."""
     found = hits(docs, benchmark, window=window, broadcast_rows=broadcast_rows)
     found = found.select(F.col("doc_id").alias("__sl_id"), F.col("text_hash").alias("__sl_hash"), F.col("spans").alias("__sl_spans"))
     rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__sl_id")) & (F.xxhash64(docs["text"]) == F.col("__sl_hash")), "left")

@@ -169,8 +169,10 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``documents`` without near-duplicates: of each group the row with the smallest doc_id stays.
 
-    Ties on doc_id fall to the smallest text hash; of fully equal (doc_id, text)
-    rows one stays.  Groups without any id keep one row too."""
+    Ties on doc_id fall to the smallest text hash, ties on both to the row with
+    the smallest hash of all columns, the same on every run.  Groups without any
+    id keep one row too; null and empty texts form groups like others; an empty
+    table gives an empty result."""
     rows = simhash_groups(docs, shingle=shingle, radius=radius)
     # a null id sorts last
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
@@ -182,7 +184,10 @@ def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     firsts = written(firsts.join(copies, same).select("__sl_id", "__sl_hash", "__sl_copies"), "firsts")
     hit = docs.join(firsts, F.col("__sl_id").eqNullSafe(docs["doc_id"]) & (F.col("__sl_hash") == F.xxhash64(docs["text"])))
     one = hit.where("__sl_copies = 1").select(docs.columns)
-    return one.unionByName(hit.where("__sl_copies > 1").dropDuplicates(["__sl_id", "__sl_hash"]).select(docs.columns))
+    whole = F.struct(*[docs[c].alias(c) for c in docs.columns])
+    # JSON, since a map has no hash
+    least = hit.where("__sl_copies > 1").groupBy("__sl_id", "__sl_hash").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("__sl_row"))
+    return one.unionByName(least.select("__sl_row.*"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,14 @@ def test_chain_components(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(7, 7)], "u long, v long")
     got = connected_components(df).collect()
     assert len(got) == n + 1 and {r.root for r in got} == {0}
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    """One row stays, the same whatever the order of the rows; extra columns, a map and clashing names come through."""
+    body = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, body, f"s{k}", {"a": k}, k) for k in range(6)] + [(1, body, "s0", {"a": 0}, 0), (None, None, "n", None, 1), (None, None, "m", None, 2), (2, body + " x", "s", None, 3)]
+    schema = "doc_id long, text string, component_id string, fp map<string,int>, g long"
+    kept = [sorted(map(str, simhash.keep_one_per_group(spark.createDataFrame(r, schema).repartition(n)).collect())) for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert kept[0] == kept[1] and len(kept[0]) == len({r.split("component_id")[0] for r in kept[0]})
+    assert sum("doc_id=1," in r for r in kept[0]) == 1 and sum("doc_id=None" in r for r in kept[0]) == 1
+    assert simhash.keep_one_per_group(spark.createDataFrame([], schema)).count() == 0
